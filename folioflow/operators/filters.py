@@ -13,14 +13,17 @@ def metadata_only(df: DataFrame, content="document_content") -> DataFrame:
 
 
 def in_date_range(parsed: Column, start: str | None, end: str | None) -> Column:
-    """Half-open test ``start <= parsed < end + 1 day``; with any bound set, null fails."""
+    """Half-open test ``start <= parsed < end + 1 day``; a null date passes no bound.
+
+    Kept to plain comparisons, so that on a stored column both reach the parquet scan.
+    """
     test = F.lit(True)
     if start:
         test = test & (parsed >= F.lit(dt.datetime.fromisoformat(start)).cast("timestamp_ntz"))
     if end:
         stop = dt.datetime.fromisoformat(end) + dt.timedelta(days=1)
         test = test & (parsed < F.lit(stop).cast("timestamp_ntz"))
-    return F.coalesce(test, F.lit(False))
+    return test
 
 
 def filter_by_date(df: DataFrame, start=None, end=None, date="date") -> DataFrame:

@@ -15,7 +15,7 @@ from ..operators.links import attachments
 from ..operators.lookup import with_body_name
 from ..operators.merge import landing_merge
 from ..schemas import CAPTURE_COLS
-from ..sources.blobs import blob_rows, read_blobs, write_blobs
+from ..sources.blobs import LAYOUT, blob_rows, read_blobs, write_blobs
 from .stages import Stage, run_stages
 
 
@@ -75,9 +75,10 @@ LANDING_STAGES = [
 ]
 
 
-def store_items(items: DataFrame, store: str, run_ts: str) -> DataFrame:
+def store_items(items: DataFrame, store: str, run_ts: str, by=LAYOUT) -> DataFrame:
     """Hash and store items; returns the rejects.
 
+    ``by`` is the directory layout: body and month suit few bodies with many documents each.
     The stored rows carry the item metadata along with the bytes, so that content is read and
     shuffled once and the metadata step reads narrow columns back.
     """
@@ -91,13 +92,15 @@ def store_items(items: DataFrame, store: str, run_ts: str) -> DataFrame:
             "run_ts": F.lit(run_ts),
         }
     )
-    write_blobs(blob_rows(named, keep=["identifier", *keep, "run_ts"]), store)
+    write_blobs(blob_rows(named, keep=["identifier", *keep, "run_ts"]), store, by=by)
     return rejects
 
 
-def landing_run(items: DataFrame, existing: DataFrame, store: str, run_ts: str) -> tuple[DataFrame, DataFrame]:
+def landing_run(
+    items: DataFrame, existing: DataFrame, store: str, run_ts: str, by=LAYOUT
+) -> tuple[DataFrame, DataFrame]:
     """(landing table with an ``action`` column, rejected items)."""
-    rejects = store_items(items, store, run_ts)
+    rejects = store_items(items, store, run_ts, by)
     captured = (
         read_blobs(items.sparkSession, store)
         .where(F.col("run_ts") == run_ts)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.stats import run_status, transform_stats, upsert_counts
 from ..schemas import LANDING, TRANSFORMED
-from ..sources.blobs import latest_blobs, read_blobs, write_partitioned
+from ..sources.blobs import LAYOUT, latest_blobs, read_blobs, write_partitioned
 from .landing import landing_run
 from .transform import apply_results, transform_results
 
@@ -24,6 +24,8 @@ class Paths(NamedTuple):
     results: str
     transformed_in: str | None
     transformed_out: str
+    #: Directory layout of the store and the results.
+    layout: tuple = LAYOUT
 
 
 def _table(spark: SparkSession, path, schema) -> DataFrame:
@@ -33,7 +35,7 @@ def _table(spark: SparkSession, path, schema) -> DataFrame:
 def run_landing(spark: SparkSession, items: DataFrame, paths: Paths, run_ts: str) -> DataFrame:
     """Runs the landing phase and returns its upsert counts."""
     existing = _table(spark, paths.landing_in, LANDING)
-    merged, _ = landing_run(items, existing, paths.store, run_ts)
+    merged, _ = landing_run(items, existing, paths.store, run_ts, paths.layout)
     merged.write.parquet(paths.landing_out)
     return upsert_counts(spark.read.parquet(paths.landing_out))
 
@@ -47,7 +49,7 @@ def run_transform(spark: SparkSession, paths: Paths, start, end, run_ts: str) ->
     blobs = latest_blobs(read_blobs(spark, paths.store))
     existing = _table(spark, paths.transformed_in, TRANSFORMED)
     results = transform_results(landing, blobs, existing, start, end, run_ts)
-    write_partitioned(results.withColumn("body", F.coalesce("body", F.lit("unknown"))), paths.results)
+    write_partitioned(results.withColumn("body", F.coalesce("body", F.lit("unknown"))), paths.results, paths.layout)
     written = spark.read.schema(results.schema).parquet(paths.results)
     apply_results(existing, written).write.parquet(paths.transformed_out)
     return transform_stats(written)

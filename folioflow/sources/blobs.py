@@ -6,6 +6,10 @@ from ..functions import content_length, content_type
 from ..schemas import BLOBS
 
 
+#: Default directory layout of stored documents.
+LAYOUT = ("body", "partition_date")
+
+
 def read_blobs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -41,7 +45,7 @@ def blob_rows(df: DataFrame, path="file_path", content="document_content", ext="
     )
 
 
-def write_partitioned(df: DataFrame, path: str, by=("body", "partition_date"), mode="append") -> None:
+def write_partitioned(df: DataFrame, path: str, by=LAYOUT, mode="append") -> None:
     """Write by body and month.
 
     The rebalance hint gives one shuffle in which small months share a task and a body
@@ -50,9 +54,9 @@ def write_partitioned(df: DataFrame, path: str, by=("body", "partition_date"), m
     df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
-def write_blobs(df: DataFrame, path: str, mode="append") -> None:
+def write_blobs(df: DataFrame, path: str, by=LAYOUT, mode="append") -> None:
     """Store captures. A capture never removes what is stored already; readers take the latest."""
-    write_partitioned(df.withColumn("capture_id", F.monotonically_increasing_id()), path, mode=mode)
+    write_partitioned(df.withColumn("capture_id", F.monotonically_increasing_id()), path, by, mode)
 
 
 def latest_blobs(store: DataFrame, order=("scraped_at", "file_hash", "capture_id")) -> DataFrame:

@@ -14,6 +14,8 @@ from .registry import query
 from .versioning import CHANGED, merged_sql, tnew, tnew_cte, tprev, upserted_sql
 from .views import CTE, META, OLD_TS, RUN_TS, blobs, ctes, html_content, landing, landing_prev, observations, spread
 
+# These tables have many bodies with few documents each: month directories are enough.
+MONTHLY = ("partition_date",)
 START, END = "2021-03-01", "2023-06-30"
 
 
@@ -28,7 +30,7 @@ def _items(spark, sf, content=None):
 @query("landing_run", ctes("docs", "landing", "landing_prev") + upserted_sql())
 def landing_run(spark, sf):
     """Hash, store and upsert whole captures; returns the landing table."""
-    merged, _ = landing_plan.landing_run(_items(spark, sf), landing_prev(spark, sf), scratch_path(spark, "store"), RUN_TS)
+    merged, _ = landing_plan.landing_run(_items(spark, sf), landing_prev(spark, sf), scratch_path(spark, "store"), RUN_TS, MONTHLY)
     return merged.drop("action")
 
 
@@ -93,7 +95,7 @@ def run_status(spark, sf):
 def run_workflow_query(spark, sf):
     """Both phases from captured items to the transformed table, with the status of the run."""
     root = scratch_path(spark, "workflow")
-    paths = Paths(f"{root}/store", None, f"{root}/landing", f"{root}/results", None, f"{root}/transformed")
+    paths = Paths(f"{root}/store", None, f"{root}/landing", f"{root}/results", None, f"{root}/transformed", MONTHLY)
     items = spread(_items(spark, sf, html_content()), "identifier")
     summary = run_workflow(spark, items, paths, START, END, RUN_TS).first()
     table = spark.read.parquet(paths.transformed_out)
