@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.stats import run_status, transform_stats, upsert_counts
 from ..schemas import LANDING, TRANSFORMED
-from ..sources.blobs import LAYOUT, latest_blobs, read_blobs, write_partitioned
+from ..sources.blobs import LAYOUT, read_blobs, write_partitioned
 from .landing import landing_run
 from .transform import apply_results, transform_results
 
@@ -46,9 +46,8 @@ def run_transform(spark: SparkSession, paths: Paths, start, end, run_ts: str) ->
     Results are written once with their bytes; table and statistics read narrow columns back.
     """
     landing = spark.read.schema(LANDING).parquet(paths.landing_out)
-    blobs = latest_blobs(read_blobs(spark, paths.store))
     existing = _table(spark, paths.transformed_in, TRANSFORMED)
-    results = transform_results(landing, blobs, existing, start, end, run_ts)
+    results = transform_results(landing, read_blobs(spark, paths.store), existing, start, end, run_ts)
     write_partitioned(results.withColumn("body", F.coalesce("body", F.lit("unknown"))), paths.results, paths.layout)
     written = spark.read.schema(results.schema).parquet(paths.results)
     apply_results(existing, written).write.parquet(paths.transformed_out)

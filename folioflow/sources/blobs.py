@@ -56,25 +56,35 @@ def write_partitioned(df: DataFrame, path: str, by=LAYOUT, mode="append") -> Non
 
 def write_blobs(df: DataFrame, path: str, by=LAYOUT, mode="append") -> None:
     """Store captures. A capture never removes what is stored already; readers take the latest."""
-    write_partitioned(df.withColumn("capture_id", F.monotonically_increasing_id()), path, by, mode)
+    write_partitioned(df.withColumn("capture_id", F.uuid()), path, by, mode)
 
 
-def latest_blobs(store: DataFrame, order=("scraped_at", "file_hash", "capture_id")) -> DataFrame:
-    """The last capture of each path. Only keys are aggregated; content moves in one join."""
-    last = store.groupBy("object_path").agg(F.max(F.struct(*order)).alias("_last"))
-    winners = last.select("object_path", "_last.*")
-    return store.join(winners, ["object_path", *order])
+def latest_captures(store: DataFrame, order=("scraped_at", "file_hash")) -> DataFrame:
+    """(object_path, capture_id) of the last capture of each path, from narrow columns only."""
+    last = store.groupBy("object_path").agg(F.max(F.struct(*order, "capture_id")).alias("_last"))
+    return last.select("object_path", F.col("_last.capture_id").alias("capture_id"))
+
+
+def latest_blobs(store: DataFrame, order=("scraped_at", "file_hash")) -> DataFrame:
+    return store.join(latest_captures(store, order).select("capture_id"), "capture_id", "left_semi")
 
 
 def attach_content(meta: DataFrame, blobs: DataFrame, path: str = "file_path") -> DataFrame:
     """Left join of metadata to bytes; a missing object gives null content.
 
-    Rows without a path get a key of their own, so that failed downloads do not all
-    meet in one task.
+    ``blobs`` is a table with one row per path or a store of captures; of a store the latest
+    capture is found among narrow rows first, so that the bytes take part in one join only.
+    Rows without an object get a key of their own, so that failed downloads do not all meet
+    in one task.
     """
-    key = F.coalesce(F.col(path), F.concat(F.lit("\u0000"), F.coalesce("identifier", F.lit(""))))
-    right = blobs.select(F.col("object_path").alias("_key"), "content")
-    return meta.withColumn("_key", key).join(right, "_key", "left").drop("_key")
+    spread = F.concat(F.lit("\u0000"), F.coalesce("identifier", F.lit("")))
+    wanted, stored = meta.withColumn("_key", F.coalesce(F.col(path), spread)), "object_path"
+    if "capture_id" in blobs.columns:
+        captures = latest_captures(blobs).withColumnRenamed("object_path", "_key")
+        located = wanted.join(captures, "_key", "left")
+        wanted, stored = located.withColumn("_key", F.coalesce("capture_id", spread)), "capture_id"
+    bodies = blobs.select(F.col(stored).alias("_key"), "content")
+    return wanted.join(bodies, "_key", "left").select(*meta.columns, "content")
 
 
 def with_existing_blob(df: DataFrame, blobs: DataFrame, path: str = "file_path") -> DataFrame:
