@@ -17,7 +17,7 @@ from .text import _col, blank_to_null, strip
 _ISO_DAY = r"^\d{4}-\d{1,2}-\d{1,2}$"
 _ISO_DAY_OR_TIME = r"^\d{4}-\d{1,2}-\d{1,2}(T\d{1,2}:\d{1,2}:\d{1,2})?$"
 _DAY_FIRST = r"^(\d{1,2})([/-])(\d{1,2})\2(\d{4})$"
-_NAMED_MONTH = r"^(\d{1,2})\s+([A-Za-z]+)\s+(\d{4})$"
+_NAMED_MONTH = r"^(\d{1,2})\s+(\p{Alpha}+)\s+(\d{4})$"
 
 
 def _day_first_to_iso(c: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, functions as F
 
 from .text import _col, blank_to_null, strip
 
-_PARTS = r"^([A-Za-z][A-Za-z0-9+.-]*):(?://([^/?#]*))?([^?#]*)(\?[^#]*)?"
+_PARTS = r"^(\p{Alpha}[\p{Alnum}+.-]*):(?://([^/?#]*))?([^?#]*)(\?[^#]*)?"
 
 
 def url_identifier(url) -> Column:
@@ -45,7 +45,7 @@ def url_join(base, href) -> Column:
     folder = F.when(base_path == "", "/").otherwise(F.regexp_extract(base_path, r"^.*/", 0))
     return (
         F.when(href == "", base)
-        .when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href)
+        .when(href.rlike(r"^\p{Alpha}[\p{Alnum}+.-]*:"), href)
         .when(href.startswith("//"), F.concat(scheme, F.lit(":"), href))
         .when(href.startswith("#"), F.concat(origin, base_path, base_query, href))
         .when(href.startswith("?"), F.concat(origin, base_path, href))

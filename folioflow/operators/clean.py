@@ -34,6 +34,11 @@ def clean_markup(content: pd.Series) -> pd.DataFrame:
     return out.astype({"text_len": "Int32"})
 
 
+# Parsing is the costly step: marked so that the optimizer keeps one evaluation per row instead
+# of repeating it in a filter and in a projection.
+clean_markup = clean_markup.asNondeterministic()
+
+
 def with_cleaned(df: DataFrame, content: Column | str) -> DataFrame:
     """Adds ``cleaned`` and ``clean_error`` columns next to the others."""
     return (

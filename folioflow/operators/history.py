@@ -2,7 +2,10 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-_SEGMENTS = 128
+# A hot key is cut into _GROUPS * _GROUPS segments.
+_GROUPS = 32
+# Above this number of hot keys their bounds are no longer broadcast (some 8 kB each).
+_BROADCAST_KEYS = 2000
 
 
 def version_history(
@@ -15,17 +18,18 @@ def version_history(
 ) -> DataFrame:
     """Adds ``version``: it rises whenever the hash differs from the previous observation.
 
-    Keys with more than ``hot_rows`` observations are cut into time segments at quantiles of
-    ``ts``, so that no task sorts a whole hot key. Changes are counted inside each segment, and
-    one summary row per segment carries the count on to the next. Other keys are one segment.
+    Keys with more than ``hot_rows`` observations are counted first. Without any, one window
+    does it. Otherwise hot keys are cut into time segments at quantiles of their own ``ts``, so
+    that no task sorts a whole hot key: changes are counted inside each segment, and one summary
+    row per segment carries the count on to the next. Rows of one key at one instant stay
+    together, ordered by ``tie``.
     """
-    segmented = _with_segments(obs, key, ts, hot_rows)
-    inside = Window.partitionBy(key, "_segment").orderBy(ts, tie)
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    changed = (F.row_number().over(inside) > 1) & ~F.col(hash_col).eqNullSafe(F.lag(hash_col).over(inside))
-    local = segmented.withColumn("_changed", changed.cast("long")).withColumn(
-        "_inside", F.sum("_changed").over(so_far)
-    )
+    hot = obs.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(key)
+    n_hot = hot.count()
+    if n_hot == 0:
+        changed = _with_changes(obs, [key], ts, tie, hash_col)
+        return changed.select(*obs.columns, (F.col("_inside") + 1).cast("int").alias("version"))
+    local = _with_changes(_with_segments(obs, hot, n_hot, key, ts), [key, "_segment"], ts, tie, hash_col)
     offsets = _segment_offsets(local.where(F.col("_segment") >= 0), key, ts, tie, hash_col)
     version = F.lit(1) + F.col("_inside") + F.coalesce("_before", F.lit(0))
     return (
@@ -35,17 +39,38 @@ def version_history(
     )
 
 
-def _with_segments(obs: DataFrame, key, ts, hot_rows) -> DataFrame:
-    cuts = [i / _SEGMENTS for i in range(1, _SEGMENTS)]
-    bounds = obs.agg(F.approx_percentile(ts, cuts, 10 * _SEGMENTS)).scalar()
-    counted = obs.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows)
-    hot = counted.select(key, bounds.alias("_bounds"))
-    segment = F.size(F.filter("_bounds", lambda b: b < F.col(ts)))
-    # No broadcast hint: the number of hot keys is known only at run time, so AQE decides.
+def _with_changes(obs: DataFrame, groups, ts, tie, hash_col) -> DataFrame:
+    """Adds ``_changed`` (0/1 against the previous row of the group) and its running sum ``_inside``."""
+    order = Window.partitionBy(*groups).orderBy(ts, tie)
+    so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    changed = (F.row_number().over(order) > 1) & ~F.col(hash_col).eqNullSafe(F.lag(hash_col).over(order))
+    return obs.withColumn("_changed", changed.cast("long")).withColumn("_inside", F.sum("_changed").over(so_far))
+
+
+def _with_segments(obs: DataFrame, hot: DataFrame, n_hot: int, key, ts) -> DataFrame:
+    """Adds ``_segment``: -1 for ordinary keys, else the number of the key's bounds below ``ts``."""
+    n = _GROUPS * _GROUPS
+    bounds = (
+        obs.select(key, ts)
+        .join(hot, key, "left_semi")
+        .groupBy(key)
+        .agg(F.approx_percentile(ts, [i / n for i in range(1, n)], 10 * n).alias("_bounds"))
+    )
+
+    def below(array):
+        return F.size(F.filter(array, lambda b: b < F.col(ts)))
+
+    # Find the group by its last bound, then the place within the group.
+    lasts = F.transform(F.sequence(F.lit(1), F.lit(_GROUPS - 1)), lambda g: F.element_at("_bounds", g * _GROUPS))
+    inside = below(F.slice("_bounds", F.col("_group") * _GROUPS + 1, _GROUPS - 1))
+    bounds = bounds.withColumn("_lasts", lasts)
+    if n_hot <= _BROADCAST_KEYS:
+        bounds = F.broadcast(bounds)
     return (
-        obs.join(hot, key, "left")
-        .withColumn("_segment", F.when(F.col("_bounds").isNotNull(), segment).otherwise(F.lit(-1)))
-        .drop("_bounds")
+        obs.join(bounds, key, "left")
+        .withColumn("_group", F.when(F.col("_bounds").isNotNull(), below("_lasts")))
+        .withColumn("_segment", F.coalesce(F.col("_group") * _GROUPS + inside, F.lit(-1)))
+        .drop("_bounds", "_lasts", "_group")
     )
 
 

@@ -183,7 +183,7 @@ def with_text_len(nodes: DataFrame, key="page_id") -> DataFrame:
     A running sum of own lengths is taken over open and close positions; an element's text
     is the sum at its close less the sum before its open.
     """
-    order = Window.partitionBy(key).orderBy("pre")
+    order = Window.partitionBy(key).orderBy("pre").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     at_open = F.sum("own_len").over(order) - F.col("own_len")
     rest = [c for c in nodes.columns if c != key]
     opened = nodes.withColumn("_before", at_open).select(
@@ -205,7 +205,8 @@ def with_text_len(nodes: DataFrame, key="page_id") -> DataFrame:
             )
         ).alias("_at"),
     ).select(key, "_at.*")
-    running = F.sum("add").over(Window.partitionBy(key).orderBy("pos"))
+    by_position = Window.partitionBy(key).orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = F.sum("add").over(by_position)
     closed = opened.withColumn("_sum", running).where(F.col("before").isNotNull())
     return closed.select(key, "node.*", (F.col("_sum") - F.col("before")).cast("int").alias("text_len"))
 

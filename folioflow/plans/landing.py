@@ -105,7 +105,6 @@ def landing_run(
         read_blobs(items.sparkSession, store)
         .where(F.col("run_ts") == run_ts)
         .withColumnRenamed("object_path", "file_path")
-        .withColumn("partition_date", F.col("partition_date").cast("string"))
         .drop("content", "content_type", "length", "capture_id", "run_ts")
     )
     return landing_merge(existing, captured, run_ts), rejects

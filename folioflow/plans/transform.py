@@ -7,7 +7,7 @@ from ..operators.clean import with_cleaned
 from ..operators.filters import filter_by_date, is_html
 from ..operators.merge import TRANSFORMED_COLS, _action, _latest_transformed, _merge, _version_of, with_current
 from ..schemas import TRANSFORMED
-from ..sources.blobs import attach_content
+from ..sources.blobs import attach_content, in_months_of
 
 _COLUMNS = [f.name for f in TRANSFORMED]
 
@@ -59,7 +59,7 @@ def transform_results(landing, blobs, existing, start, end, run_ts: str) -> Data
     """
     selected = filter_by_date(landing, start, end).drop("version", "created_at", "updated_at")
     narrow = with_current(selected, existing, "new_hash")
-    full = attach_content(narrow, blobs)
+    full = attach_content(narrow, in_months_of(blobs, selected))
     html = is_html()
     cleaned = with_cleaned(full, F.when(html & (F.octet_length("content") > 0), F.col("content")))
     output = F.when(html, F.col("cleaned").cast("binary")).otherwise(F.col("content"))

@@ -1,6 +1,7 @@
 from .blobs import (
     attach_content,
     blob_rows,
+    in_months_of,
     latest_blobs,
     read_binary_files,
     read_blobs,

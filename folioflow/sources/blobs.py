@@ -1,6 +1,6 @@
 """Document bytes as a table keyed by object path."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import content_length, content_type
 from ..schemas import BLOBS
@@ -8,10 +8,27 @@ from ..schemas import BLOBS
 
 #: Default directory layout of stored documents.
 LAYOUT = ("body", "partition_date")
+# A century of months.
+_MAX_MONTHS = 1200
 
 
 def read_blobs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """A stored table with its directory columns as text, whatever their values look like."""
+    found = spark.read.parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name in LAYOUT else f for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def in_months_of(blobs: DataFrame, meta: DataFrame) -> DataFrame:
+    """Blobs in the month directories that ``meta`` names; the other directories are not read.
+
+    The months are a short list whatever the table size. If they are not, nothing is pruned.
+    """
+    if "partition_date" not in blobs.columns:
+        return blobs
+    months = meta.select(F.coalesce("partition_date", F.lit("unknown"))).distinct()
+    named = [r[0] for r in months.limit(_MAX_MONTHS + 1).collect()]
+    return blobs if len(named) > _MAX_MONTHS else blobs.where(F.col("partition_date").isin(named))
 
 
 def read_binary_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:

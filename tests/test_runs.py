@@ -254,3 +254,24 @@ def test_fold_ignores_a_batch_counted_before():
     rows = pd.DataFrame({"identifier": "x", "first_hash": ["b", "z", "b"], "last_hash": ["a", "z", "a"], "changes": [1, 5, 1], "seq": [8, 7, 8]})
     out = next(versions.fold_versions(("x",), iter([rows]), state))
     assert state.now == (5, "a", 8) and out.iloc[0].to_dict() == {"identifier": "x", "version": 5, "file_hash": "a", "seq": 8}
+
+
+def test_transform_reads_only_the_months_it_selects(spark, tmp_path):
+    store = str(tmp_path / "store")
+    rows = [("a", "2024-03-05", "2024-03"), ("b", "2023-01-05", "2023-01"), ("c", "2022-01-05", "2022-01")]
+    captured = items(spark, [(i, page(i), "t1") for i, *_ in rows]).drop("date", "partition_date")
+    captured = captured.join(spark.createDataFrame(rows, "identifier string, date string, partition_date string"), "identifier")
+    merged, _ = landing_run(captured, spark.createDataFrame([], LANDING), store, NOW)
+    merged.drop("action").write.parquet(str(tmp_path / "landing"))
+    landing = spark.read.parquet(str(tmp_path / "landing"))
+    existing = spark.createDataFrame([], TRANSFORMED)
+    results = transform_results(landing, src.read_blobs(spark, store), existing, "2024-01-01", "2024-12-31", NOW)
+    plan = results._jdf.queryExecution().executedPlan().toString()
+    assert "(partition_date" in plan.split("PartitionFilters: [", 1)[1] and "= 2024-03)" in plan
+    assert [(r["identifier"], r["status"]) for r in results.collect()] == [("a", "transformed")]
+
+
+def test_directory_values_stay_text(spark, tmp_path):
+    df = spark.createDataFrame([("007", "2024", "x")], "body string, partition_date string, identifier string")
+    src.write_partitioned(df, str(tmp_path / "t"))
+    assert src.read_blobs(spark, str(tmp_path / "t")).select(*df.columns).first() == ("007", "2024", "x")

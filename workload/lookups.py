@@ -63,7 +63,7 @@ def blob_roundtrip(spark, sf):
     src.write_blobs(src.blob_rows(landing(spark, sf), content="content"), path)
     return src.read_blobs(spark, path).select(
         "body",
-        F.col("partition_date").cast("string").alias("partition_date"),
+        "partition_date",
         "object_path",
         "length",
         "content_type",
@@ -89,10 +89,7 @@ def find_by_partition(spark, sf):
     """Reads one directory of the month layout."""
     path = scratch_path(spark, "landing")
     src.write_partitioned(landing_meta(spark, sf), path, by=("partition_date",))
-    meta = landing_meta(spark, sf)
-    return src.find_by_partition(src.read_landing(spark, path), "2021-03").select(
-        *[F.col(c).cast(meta.schema[c].dataType).alias(c) for c in meta.columns]
-    )
+    return src.find_by_partition(src.read_blobs(spark, path), "2021-03")
 
 
 CTE["ranges"] = """ranges AS (

@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from folioflow.operators import stats
-from folioflow.operators.clean import clean_markup
 from folioflow.plans import landing as landing_plan
 from folioflow.plans import transform
 from folioflow.plans.workflow import Paths, run_workflow
@@ -12,7 +11,7 @@ from folioflow.streaming import upsert, versions
 
 from .registry import query
 from .versioning import CHANGED, merged_sql, tnew, tnew_cte, tprev, upserted_sql
-from .views import CTE, META, OLD_TS, RUN_TS, blobs, ctes, html_content, landing, landing_prev, observations, spread
+from .views import CTE, META, OLD_TS, RUN_TS, blobs, cleaned_html, ctes, html_content, landing, landing_prev, observations
 
 # These tables have many bodies with few documents each: month directories are enough.
 MONTHLY = ("partition_date",)
@@ -43,9 +42,8 @@ _VIEWS = ctes("docs", "landing", "wrapped", "cleaned", "doc_content", "landing_h
 
 def _results(spark, sf):
     rows = landing(spark, sf, html_content())
-    html = F.col("document_type") != "pdf"
-    cleaned = F.when(html, clean_markup(F.when(html, F.col("content")))["cleaned"]).otherwise(F.col("content"))
-    existing = tprev(tnew(spread(rows, "doc_id"), F.sha2(cleaned, 256)))
+    output = F.when(F.col("document_type") == "pdf", F.col("content")).otherwise(cleaned_html())
+    existing = tprev(tnew(rows, F.sha2(output, 256)))
     stored = rows.drop("doc_id", "d", "t", "content").withColumns(
         {"version": F.lit(1), "created_at": F.lit(OLD_TS), "updated_at": F.lit(None).cast("string")}
     )
@@ -96,7 +94,7 @@ def run_workflow_query(spark, sf):
     """Both phases from captured items to the transformed table, with the status of the run."""
     root = scratch_path(spark, "workflow")
     paths = Paths(f"{root}/store", None, f"{root}/landing", f"{root}/results", None, f"{root}/transformed", MONTHLY)
-    items = spread(_items(spark, sf, html_content()), "identifier")
+    items = _items(spark, sf, html_content())
     summary = run_workflow(spark, items, paths, START, END, RUN_TS).first()
     table = spark.read.parquet(paths.transformed_out)
     return table.select(

@@ -39,10 +39,13 @@ CTE["docs"] = """docs AS (
   FROM documents)"""
 
 
-def docs(spark, sf):
+def docs(spark, sf, wide=False):
+    """``wide`` for queries that work through the texts in Python or with many expressions."""
     df = table(spark, sf, "documents")
+    df = spread(df, "doc_id") if wide else df
     kind = F.col("doc_id") % 7
-    t = F.trim(F.regexp_replace(F.regexp_replace("text", "[^A-Za-z0-9 ]", ""), " +", " "))
+    # The POSIX class is the fast way to write [^A-Za-z0-9 ] on the JVM.
+    t = F.trim(F.regexp_replace(F.regexp_replace("text", r"[^\p{Alnum} ]", ""), " +", " "))
     return df.withColumns(
         {
             "d": F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 1500).cast("int")),
@@ -71,6 +74,7 @@ CTE["landing"] = f"""landing AS (
 
 def landing(spark, sf, content=None):
     """Landing rows; ``content`` is the document text unless another column is given."""
+    wide = content is not None
     n = F.col("doc_id") % 5
     identifier = F.concat(F.lit("DOC-"), F.col("doc_id").cast("string"))
     month = F.date_format("d", "yyyy-MM")
@@ -83,7 +87,7 @@ def landing(spark, sf, content=None):
         .otherwise("n/a")
     )
     link = F.concat(F.lit("https://docs.example.org/"), F.col("doc_id").cast("string"))
-    return docs(spark, sf).select(
+    return docs(spark, sf, wide).select(
         "doc_id",
         "d",
         "t",
@@ -190,8 +194,23 @@ def wrapped_html():
 
 
 def wrapped(spark, sf):
-    df = docs(spark, sf).select(F.col("doc_id").alias("page_id"), "doc_id", "t")
-    return spread(df.select("page_id", wrapped_html().alias("html")), "page_id")
+    return docs(spark, sf, wide=True).select(F.col("doc_id").alias("page_id"), wrapped_html().alias("html"))
+
+
+def cleaned_html():
+    """What is left of ``wrapped_html`` after cleaning, as in the ``cleaned`` expression."""
+    w, n = F.col("doc_id") % 5, F.length("t")
+
+    def tagged(before, after):
+        return F.concat(F.lit(before), "t", F.lit(after))
+
+    inner = F.when(n > 0, tagged("<p>", "</p>")).otherwise("")
+    kept = {0: ("<main>", "</main>"), 1: ("<article>", "</article>"), 2: ('<div class="content">', "</div>")}
+    core = F.when((w == 3) & (n >= 10), tagged("<div>", "</div>")).otherwise(F.col("t"))
+    for i, (before, after) in kept.items():
+        core = F.when(w == i, F.concat(F.lit(before), inner, F.lit(after))).otherwise(core)
+    chosen = ((w < 3) & (n > 200)) | ((w == 3) & (n > 300))
+    return F.when(chosen, core).otherwise(F.concat(F.lit("<body>"), core, F.lit("</body>")))
 
 
 def html_content():
@@ -225,7 +244,7 @@ def cases(spark, sf):
     name = F.concat(conv.cast("string"), F.lit("-"), turn.cast("string"))
     href = F.concat(F.lit("/en/cases/2024/march/adj-"), name, F.lit(".html"))
     ids = ["1", "2", "3", "15376", "99"]
-    return table(spark, sf, "conversations").select(
+    return spread(table(spark, sf, "conversations"), "conv_id").select(
         "conv_id",
         "turn",
         "text",
@@ -305,7 +324,7 @@ def case_pages(spark, sf):
         .otherwise("")
     )
     dated = F.when(F.col("conv_id") % 2 == 0, "<p>Dated 05/02/2024</p>").otherwise("")
-    words = F.regexp_replace("text", "[^A-Za-z ]", "")
+    words = F.regexp_replace("text", r"[^\p{Alpha} ]", "")
     html = F.concat(
         F.lit('<html><body><div id="main">'), dated, F.lit("<p>"), words, F.lit("</p>"), link, F.lit("</div></body></html>")
     )
@@ -331,8 +350,7 @@ def detail_pages(spark, sf):
         F.lit('<html><body><a href="/decoy.pdf">d</a>'), start, F.lit("<p>"), "t", F.lit("</p>"), inner, F.lit("</div></body></html>")
     )
     url = F.concat(F.lit(SITE + "/en/cases/"), F.col("doc_id").cast("string"), F.lit("/page.html"))
-    df = docs(spark, sf).select(F.col("doc_id").alias("page_id"), url.alias("url"), html.alias("html"))
-    return spread(df, "page_id")
+    return docs(spark, sf, wide=True).select(F.col("doc_id").alias("page_id"), url.alias("url"), html.alias("html"))
 
 
 # --- fetched pages and observations ---------------------------------------------------------
