@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from folioflow.operators import stats
 from folioflow.plans import landing as landing_plan
 from folioflow.plans import transform
+from folioflow.plans.stages import run_stages
 from folioflow.plans.workflow import Paths, run_workflow
 from folioflow.session import scratch_path
 from folioflow.streaming import upsert, versions
@@ -33,6 +34,22 @@ def landing_run(spark, sf):
     return merged.drop("action")
 
 
+@query(
+    "landing_rejects",
+    """SELECT CASE WHEN doc_id % 7 <> 3 THEN 'DOC-' || doc_id END AS identifier, CASE WHEN doc_id % 5 = 2 THEN 'hash' ELSE 'store' END AS stage,
+         CASE WHEN doc_id % 5 = 2 THEN 'no document content' ELSE 'no identifier' END AS reason
+       FROM documents WHERE doc_id % 5 = 2 OR doc_id % 7 = 3""",
+)
+def landing_rejects(spark, sf):
+    """Items that do not land: failed downloads and items without an identifier."""
+    n = landing(spark, sf).select("identifier", "doc_id")
+    failed = F.when(F.col("doc_id") % 5 != 2, F.col("document_content"))
+    named = F.when(F.col("doc_id") % 7 != 3, F.col("identifier"))
+    items = _items(spark, sf).join(n, "identifier").withColumns({"document_content": failed, "identifier": named}).drop("doc_id")
+    _, rejects = run_stages(items, landing_plan.LANDING_STAGES)
+    return rejects
+
+
 CTE["landing_html"] = "landing_html AS (SELECT landing.*, c.content AS html, output FROM landing JOIN doc_content c USING (doc_id))"
 CTE["tnew_html"] = tnew_cte("landing_html", "output", "html")
 _SELECTED = "doc_id % 5 <> 4 AND d BETWEEN DATE '2021-03-01' AND DATE '2023-06-30'"
