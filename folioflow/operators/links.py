@@ -1,11 +1,11 @@
 """Links in pages: listing rows, next pages, attachments, edges and pagination chains."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import ATTACHMENT_TYPES
 from ..functions import strip, url_join
 from ..session import cut_lineage
-from .nodes import dom_nodes, matches
+from .nodes import dom_nodes, enclosed_until, matches
 
 _ROW, _TITLE, _MAIN = "li.each-item", "h2.title", "#main"
 
@@ -35,52 +35,49 @@ def next_links(pages: DataFrame, key="page_id", url="url", html="html") -> DataF
 def listing_rows(pages: DataFrame, key="page_id", url="url", html="html", keep=()) -> DataFrame:
     """Case rows of listing pages: link, identifier text, date text. Rows without a link drop out.
 
-    Each anchor or date carries the listing rows around it, so that rows are put together by
-    grouping on (page, row) instead of joining elements to rows.
+    What belongs to an element is the nearest thing that follows it and opens no later than
+    the element's last descendant. Two passes over each page from its end find these: anchors
+    for titles, then titles, buttons and dates for rows. Rows nested in each other stay linear.
     """
-    nodes = dom_nodes(
-        pages, key, html, keep=[url, *keep], tags=["a", "span"], containers=[_ROW, _TITLE]
+    nodes = dom_nodes(pages, key, html, keep=[url, *keep], tags=["a", "span"], selectors=[_ROW, _TITLE])
+    after = Window.partitionBy(key).orderBy(F.col("pre").desc()).rowsBetween(Window.unboundedPreceding, -1)
+
+    def following(value, when):
+        return F.last(F.when(when & value.isNotNull(), F.struct("pre", value.alias("value"))), ignorenulls=True).over(after)
+
+    def inside(name):
+        return F.when(F.col(name)["pre"] <= F.col("last"), F.col(name)["value"])
+
+    text, anchor = F.col("first_text"), F.col("tag") == "a"
+    parts = nodes.select(key, url, *keep, "pre", "last", "tag", "classes", "first_text", _href().alias("href"))
+    near = parts.withColumns(
+        {
+            "_button": following(F.col("href"), matches("a.btn-primary")),
+            "_date": following(text, matches("span.date")),
+            "_href": following(F.col("href"), anchor),
+            "_text": following(text, anchor),
+        }
+    ).withColumns({"_title_href": F.when(matches(_TITLE), inside("_href")), "_title_text": F.when(matches(_TITLE), inside("_text"))})
+    titled = near.withColumns(
+        {
+            "_link": following(F.col("_title_href"), F.lit(True)),
+            "_name": following(F.col("_title_text"), F.lit(True)),
+        }
     )
-    rows = F.filter("within", lambda w: w["selector"] == _ROW)
-    titles = F.filter("within", lambda w: w["selector"] == _TITLE)
-    parts = nodes.where(F.col("tag").isin("a", "span")).select(
-        key,
-        url,
-        *keep,
-        "pre",
-        "first_text",
-        _href().alias("href"),
-        matches("a.btn-primary").alias("is_button"),
-        matches("span.date").alias("is_date"),
-        (F.col("tag") == "a").alias("is_anchor"),
-        titles.alias("titles"),
-        F.explode(F.transform(rows, lambda r: r["pre"])).alias("row_pre"),
-    )
-    in_title = F.col("is_anchor") & F.exists("titles", lambda t: t["pre"] > F.col("row_pre"))
-
-    def first(value, when):
-        return F.min_by(F.when(when & value.isNotNull(), value), F.when(when & value.isNotNull(), F.col("pre")))
-
-    href, text = F.col("href"), F.col("first_text")
-    grouped = parts.groupBy(key, url, *keep, "row_pre").agg(
-        first(href, F.col("is_button")).alias("button"),
-        first(href, in_title).alias("title_href"),
-        first(text, in_title).alias("title_text"),
-        first(text, F.col("is_date")).alias("date_text"),
-    )
-    link = F.coalesce(F.when(F.col("button") != "", F.col("button")), F.col("title_href"))
+    button = inside("_button")
     return (
-        grouped.withColumn("href", link)
+        titled.where(matches(_ROW))
+        .withColumn("href", F.coalesce(F.when(button != "", button), inside("_link")))
         .where(F.col("href") != "")
         .select(
             key,
             F.col(url).alias("listing_url"),
             *keep,
-            "row_pre",
+            F.col("pre").alias("row_pre"),
             "href",
             url_join(url, "href").alias("link"),
-            strip(F.coalesce("title_text", F.lit(""))).alias("identifier_text"),
-            strip(F.coalesce("date_text", F.lit(""))).alias("date_text"),
+            strip(F.coalesce(inside("_name"), F.lit(""))).alias("identifier_text"),
+            strip(F.coalesce(inside("_date"), F.lit(""))).alias("date_text"),
         )
     )
 
@@ -92,16 +89,11 @@ def attachments(pages: DataFrame, key="page_id", url="url", html="html") -> Data
     in lower or upper case; only the first link per extension counts, and a cookie notice in
     that place rules the extension out.
     """
-    nodes = dom_nodes(pages, key, html, keep=[url], tags=["a"], containers=[_MAIN])
-    in_main = F.exists("within", lambda w: w["selector"] == _MAIN)
+    nodes = dom_nodes(pages, key, html, keep=[url], tags=["a"], selectors=[_MAIN])
+    is_main = F.col("is_main")
     anchors = nodes.select(
-        key,
-        url,
-        "pre",
-        F.when(F.col("tag") == "a", _href()).alias("href"),
-        in_main.alias("in_main"),
-        matches(_MAIN).alias("is_main"),
-    )
+        key, url, "pre", "last", F.when(F.col("tag") == "a", _href()).alias("href"), matches(_MAIN).alias("is_main")
+    ).withColumn("in_main", is_main | F.coalesce(enclosed_until(is_main, key) >= F.col("pre"), F.lit(False)))
     aggregates = [F.max("is_main").alias("has_main")]
     for ext in ATTACHMENT_TYPES:
         fits = F.col("href").endswith("." + ext) | F.col("href").endswith("." + ext.upper())

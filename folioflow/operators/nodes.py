@@ -24,7 +24,6 @@ from . import markup
 
 _PAGES_PER_BATCH = 64
 _PIECE = T.StructType([T.StructField("pos", T.IntegerType()), T.StructField("html", T.StringType())])
-_ENCLOSING = T.StructType([T.StructField("selector", T.StringType()), T.StructField("pre", T.IntegerType())])
 
 _FIELDS = [
     T.StructField("pre", T.IntegerType()),
@@ -39,7 +38,6 @@ _FIELDS = [
     T.StructField("first_text", T.StringType()),
     T.StructField("open_pos", T.IntegerType()),
     T.StructField("close_pos", T.IntegerType()),
-    T.StructField("within", T.ArrayType(_ENCLOSING)),
 ]
 _MARKUP_FIELDS = [
     T.StructField("open_html", T.StringType()),
@@ -49,32 +47,31 @@ _MARKUP_FIELDS = [
 
 
 def dom_nodes(
-    pages: DataFrame, key="page_id", html="html", keep=(), tags=None, containers=(), with_markup=False
+    pages: DataFrame, key="page_id", html="html", keep=(), tags=None, selectors=(), with_markup=False
 ) -> DataFrame:
     """One row per element, element 0 being the document.
 
-    ``tags`` limits the rows to elements with these tags plus the elements matching
-    ``containers``, so that only what a query needs crosses back from Python. ``within`` lists
-    the enclosing elements that match ``containers``. ``keep`` names page columns to repeat.
+    ``tags`` limits the rows to elements with these tags or matching ``selectors``, so that
+    only what a query needs crosses back from Python. ``keep`` names page columns to repeat.
     """
     kept = [key, *keep]
     fields = _FIELDS + (_MARKUP_FIELDS if with_markup else [])
     schema = T.StructType([pages.schema[c] for c in kept] + fields)
     wanted = None if tags is None else frozenset(tags)
-    containers = list(containers)
+    extra = list(selectors)
 
     def run(batches):
         from pyspark.sql.pandas.types import to_arrow_schema
 
         out_schema = to_arrow_schema(schema)
-        enclosing = markup.Selectors(containers)
+        also = markup.Selectors(extra)
         for batch in batches:
             for at in range(0, batch.num_rows, _PAGES_PER_BATCH):
                 part = batch.slice(at, _PAGES_PER_BATCH).to_pydict()
                 rows = [
                     head + row
                     for *head, text in zip(*[part[c] for c in kept], part[html])
-                    for row in _page_rows(text, wanted, containers, enclosing, with_markup)
+                    for row in _page_rows(text, wanted, also, with_markup)
                 ]
                 columns = list(zip(*rows)) if rows else [[]] * len(out_schema)
                 arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, out_schema)]
@@ -83,7 +80,7 @@ def dom_nodes(
     return pages.select(*kept, html).mapInArrow(run, schema)
 
 
-def _page_rows(text, wanted, containers, enclosing, with_markup):
+def _page_rows(text, wanted, also, with_markup):
     page = markup.parse("" if text is None else text)
     pieces = {}
     if with_markup:
@@ -91,17 +88,14 @@ def _page_rows(text, wanted, containers, enclosing, with_markup):
             if kind in (markup.TEXT, markup.OTHER):
                 shown = markup.escape(payload) if kind == markup.TEXT else payload
                 pieces.setdefault(pre, []).append({"pos": pos, "html": shown})
-    paths, found = [], []
+    found = []
     for e in page.elements:
-        ranks = enclosing.ranks(e) if e.pre else []
-        path = paths[e.parent] if e.pre else []
-        if wanted is None or e.tag in wanted or ranks:
+        if wanted is None or e.tag in wanted or also.ranks(e):
             row = [e.pre, e.last, e.parent, e.depth, e.tag, e.elem_id, e.classes, list(e.attrs.items()),
-                   e.own_len, e.first_text, e.open_at, e.close_at, path]
+                   e.own_len, e.first_text, e.open_at, e.close_at]
             if with_markup:
                 row += [e.open_html() if e.pre else "", e.close_html() if e.pre else "", pieces.get(e.pre, [])]
             found.append(row)
-        paths.append(path + [{"selector": containers[r], "pre": e.pre} for r in ranks] if ranks else path)
     return found
 
 
@@ -140,7 +134,7 @@ def tag_counts(nodes: DataFrame) -> DataFrame:
 
 def noise_stats(nodes: DataFrame, key="page_id") -> DataFrame:
     """Elements removed per selector; an element counts for the first selector it matches."""
-    inside = _running_end(F.col("_noise"), key) >= F.col("pre")
+    inside = enclosed_until(F.col("_noise"), key) >= F.col("pre")
     names = [
         F.when(matches(s), F.lit(s)) for s in STRIPPED_TAGS + NAVIGATION_SELECTORS
     ]
@@ -160,15 +154,18 @@ def noise_stats(nodes: DataFrame, key="page_id") -> DataFrame:
     )
 
 
-def _running_end(flag: Column, key) -> Column:
-    """Greatest ``last`` of the flagged elements that open before this one."""
+def enclosed_until(flag: Column, key) -> Column:
+    """Greatest ``last`` of the flagged elements that open before this one.
+
+    An element lies inside a flagged one just when this is not below its own ``pre``.
+    """
     before = Window.partitionBy(key).orderBy("pre").rowsBetween(Window.unboundedPreceding, -1)
     return F.max(F.when(flag, F.col("last"))).over(before)
 
 
 def without_noise(nodes: DataFrame, key="page_id") -> DataFrame:
     """Drop noise elements and everything inside them."""
-    inside = F.coalesce(_running_end(F.col("_noise"), key) >= F.col("pre"), F.lit(False))
+    inside = F.coalesce(enclosed_until(F.col("_noise"), key) >= F.col("pre"), F.lit(False))
     return (
         nodes.withColumn("_noise", is_noise())
         .withColumn("_inside", inside)

@@ -169,6 +169,17 @@ def test_listing_rows(spark):
     assert [(r["dst"]) for r in links.next_links(df).collect()] == ["https://s.org/en/search/?p=2"]
 
 
+def test_listing_rows_that_were_never_closed(spark):
+    """Each row then contains the ones after it and falls back on what they hold."""
+    html = "".join(
+        f'<li class="each-item"><h2 class="title"><a{" href=" + chr(34) + f"/t{i}" + chr(34) if i % 3 else ""}>{i}</a></h2>' for i in range(200)
+    )
+    df = spark.createDataFrame([(1, "https://s.org/", html)], "page_id long, url string, html string")
+    rows = links.listing_rows(df).orderBy("row_pre").collect()
+    want = [(f"https://s.org/t{i if i % 3 else i + 1}", str(i)) for i in range(200)]
+    assert [(r["link"], r["identifier_text"]) for r in rows] == want
+
+
 @pytest.mark.parametrize(
     "inner, want",
     [
@@ -178,6 +189,8 @@ def test_listing_rows(spark):
         ('<a href="x.Pdf"><a href="x.pdf?y">', None),
         ('<div id="main"><p></p></div><a href="x.pdf">', None),
         ('<a href="x.pdf"><div id="main"><a href="y.doc"></a></div>', ("https://s.org/y.doc", "doc")),
+        ('<a href="x.pdf"></a><div id="main"><i></i></div><b id="main"><a href="y.doc"></a></b>', ("https://s.org/y.doc", "doc")),
+        ('<a href="x.pdf"></a><a id="main" href="y.docx"></a>', ("https://s.org/y.docx", "docx")),
     ],
 )
 def test_attachments(spark, inner, want):
