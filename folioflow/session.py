@@ -16,6 +16,7 @@ DEFAULTS = {
     "spark.sql.parquet.filterPushdown": "true",
     # Page bodies are large rows: small Arrow batches keep Python workers lean.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 

@@ -333,6 +333,12 @@ def classify_fetch_whole(spark, sf):
     return classify.classify_fetch(fetches(spark, sf), window=None).drop("body", "retry_after")
 
 
+@query("usable_pages", ctes("fetches") + f"SELECT page_id, status FROM ({_classified('substr(body, 1, 5000)')}) WHERE fetch_class = 'other'")
+def usable_pages(spark, sf):
+    """Pages kept for the corpus."""
+    return classify.usable_pages(fetches(spark, sf)).select("page_id", "status")
+
+
 @query("duplicate_keys", "SELECT source AS body, lang, count(*) AS n_rows FROM documents GROUP BY source, lang HAVING count(*) > 1")
 def duplicate_keys(spark, sf):
     return stats.duplicate_keys(table(spark, sf, "documents").withColumnRenamed("source", "body"), ["body", "lang"])

@@ -16,7 +16,7 @@ from .views import CTE, META, OLD_TS, RUN_TS, blobs, cleaned_html, ctes, html_co
 
 # These tables have many bodies with few documents each: month directories are enough.
 MONTHLY = ("partition_date",)
-START, END = "2021-03-01", "2023-06-30"
+START, END = "2020-03-01", "2023-06-30"
 
 
 def _items(spark, sf, content=None):
@@ -52,7 +52,7 @@ def landing_rejects(spark, sf):
 
 CTE["landing_html"] = "landing_html AS (SELECT landing.*, c.content AS html, output FROM landing JOIN doc_content c USING (doc_id))"
 CTE["tnew_html"] = tnew_cte("landing_html", "output", "html")
-_SELECTED = "doc_id % 5 <> 4 AND d BETWEEN DATE '2021-03-01' AND DATE '2023-06-30'"
+_SELECTED = "doc_id % 5 <> 4 AND d BETWEEN DATE '2020-03-01' AND DATE '2023-06-30'"
 CTE["selected"] = f"selected AS (SELECT tnew.* FROM tnew JOIN docs USING (doc_id) WHERE {_SELECTED})"
 _VIEWS = ctes("docs", "landing", "wrapped", "cleaned", "doc_content", "landing_html", "tnew_html", "tprev", "selected")
 
