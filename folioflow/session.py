@@ -64,7 +64,10 @@ _shipped = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers, wherever the driver was started."""
+    """Make this package importable in Python workers, wherever the driver was started.
+
+    Only the driver reads the archive; Spark hands it to the executors.
+    """
     sc = spark.sparkContext
     if sc.applicationId in _shipped:
         return

@@ -1,6 +1,6 @@
 """Micro-batch upsert of captures into a landing change log."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.merge import landing_merge
 from ..schemas import LANDING
@@ -9,7 +9,8 @@ _VERSIONED = [f.name for f in LANDING if f.name != "version"]
 
 
 def _log(spark: SparkSession, table: str, before: int | None = None) -> DataFrame:
-    log = spark.read.schema(f"{LANDING.simpleString()[7:-1].replace(':', ' ')}, batch_id long").parquet(table)
+    schema = T.StructType(LANDING.fields + [T.StructField("batch_id", T.LongType())])
+    log = spark.read.schema(schema).parquet(table)
     return log if before is None else log.where(F.col("batch_id") < before)
 
 

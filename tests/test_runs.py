@@ -130,7 +130,7 @@ def landing_rows(spark, rows):
     """(identifier, date, type, path) landing rows."""
     base = dict.fromkeys(LANDING.fieldNames())
     return spark.createDataFrame(
-        [tuple({**base, "identifier": i, "date": d, "document_type": k, "file_path": p, "body": "wrc"}.values()) for i, d, k, p in rows], LANDING
+        [tuple({**base, "identifier": i, "date": d, "document_type": k, "file_path": p, "body": "court"}.values()) for i, d, k, p in rows], LANDING
     )
 
 
@@ -145,7 +145,7 @@ def test_transform_one_document(spark):
     existing = spark.createDataFrame([], TRANSFORMED)
     results = transform_results(landing, blobs, existing, "2000-01-01", "2000-01-31", NOW)
     row = results.first()
-    assert (row["status"], row["version"], row["is_copy"], row["transformed_file_path"]) == ("transformed", 1, False, "wrc/unknown/ADJ-1.html")
+    assert (row["status"], row["version"], row["is_copy"], row["transformed_file_path"]) == ("transformed", 1, False, "court/unknown/ADJ-1.html")
     assert bytes(row["content"]) == b"<body>Test</body>" and row["new_hash"] == sha("<body>Test</body>")
     assert (row["document_type"], row["partition_date"], row["content_type"]) == ("html", "unknown", "text/html")
     assert transform_results(landing, blobs, existing, "2001-01-01", "2001-01-31", NOW).count() == 0
