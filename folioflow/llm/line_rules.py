@@ -13,7 +13,8 @@ are read.
 from pyspark.sql import Column, DataFrame, functions as F
 
 SPACE = "[\\x20\\x09-\\x0D]+"
-SYMBOLS = "#*$%&|<>"
+NOT_SPACE = "[^\\x20\\x09-\\x0D]"
+SYMBOLS = "[#*$%&|<>]"
 WINDOW = 5
 
 
@@ -27,7 +28,7 @@ def words_of(text: Column) -> Column:
 
 
 def window_hashes(words: Column, n=WINDOW) -> Column:
-    """A hash for each run of ``n`` words, in order; ``words`` must be a stored column."""
+    """A hash for each run of ``n`` words, in order, from the stored hashes of the words."""
     starts = F.slice(words, 1, F.greatest(F.size(words) - (n - 1), F.lit(0)))
     return F.transform(starts, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, n)]))
 
@@ -42,13 +43,13 @@ def repeated_words(hashes: Column, n=WINDOW) -> Column:
 
             return F.when(((j > 0) & same(-1)) | same(1), x["i"])
 
-        return F.array_sort(F.filter(F.transform(pairs, pick), lambda p: p.isNotNull()))
+        return F.sort_array(F.filter(F.transform(pairs, pick), lambda p: p.isNotNull()))
 
     def covered(at):
         each = F.transform(at, lambda p, j: F.least(F.lit(n), F.coalesce(F.get(at, j + 1) - p, F.lit(n))))
         return F.aggregate(each, F.lit(0).cast("long"), lambda a, x: a + x)
 
-    pairs = F.array_sort(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    pairs = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     some = let(let(pairs, positions), covered)
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), F.lit(0).cast("long")).otherwise(some)
 
@@ -64,34 +65,37 @@ _KEYS = ["_text_a", "_text_b", "_bytes"]
 def word_stats(docs: DataFrame, text="text") -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(whole, "\n"), lambda line: F.trim(F.translate(line, "\t\x0b\x0c\r", "    ")) != "")
+    lines = F.filter(F.split(whole, "\n"), lambda line: F.rlike(line, F.lit(NOT_SPACE)))
     # Separate projections: an array that a lambda looks into must be computed once per row.
     one = docs.withColumns({"_words": words_of(whole), "_lines": lines})
-    two = one.withColumn("_windows", window_hashes(F.col("_words")))
-    out = two.withColumns(
+    two = one.withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
+    out = two.withColumn("_windows", window_hashes(F.col("_hashes")))
+    out = out.withColumns(
         {
             "n_words": F.size("_words").cast("long"),
-            "word_chars": F.aggregate("_words", F.lit(0).cast("long"), lambda a, w: a + F.char_length(w)),
-            "n_symbols": (F.char_length(whole) - F.char_length(F.translate(whole, SYMBOLS, ""))).cast("long"),
+            "word_chars": F.char_length(F.array_join("_words", "")).cast("long"),
+            "n_symbols": F.regexp_count(whole, F.lit(SYMBOLS)).cast("long"),
             "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
             "n_repeat_words": repeated_words(F.col("_windows")),
         }
-    ).drop("_words", "_lines", "_windows")
+    ).drop("_words", "_lines", "_hashes", "_windows")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
 
-def normal_line(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(line), SPACE, " "), "[0-9]", "0"))
+def normal_lines(text: Column) -> Column:
+    """The lines in lower case, digits as 0; only white space that is not a single space is rewritten."""
+    plain = F.regexp_replace(F.lower(text), "[\\x20\\x09\\x0B-\\x0D]{2,}|[\\x09\\x0B-\\x0D]", " ")
+    return F.split(F.regexp_replace(plain, "[0-9]", "0"), "\n")
 
 
 def removed_words(docs: DataFrame, host="source", text="text", min_docs=20, max_share=0.05) -> DataFrame:
     """Words in over-frequent lines per distinct (host, text) that has such lines."""
     keys = [c.alias(k) for k, c in _text_keys(F.col(host), F.col(text)).items()]
     told = docs.where(F.col(text).isNotNull())
-    lines = F.transform(F.split(F.col(text), "\n"), normal_line)
-    each = told.select(*keys, F.explode(lines).alias("_line")).where(F.col("_line") != "")
-    n_words = F.char_length("_line") - F.char_length(F.translate("_line", " ", "")) + 1
+    each = told.select(*keys, F.explode(normal_lines(F.col(text))).alias("_line"))
+    each = each.withColumn("_line", F.trim("_line")).where(F.col("_line") != "")
+    n_words = F.octet_length("_line") - F.octet_length(F.replace("_line", F.lit(" "), F.lit(""))) + 1
     each = each.select("_host", *_KEYS, F.xxhash64("_line").alias("_hash"), n_words.cast("long").alias("_n"))
     # One row per line and distinct text; copies of a text fall together on the map side.
     per_text = each.groupBy("_host", "_hash", *_KEYS).agg(F.count("*").alias("_times"), F.first("_n").alias("_n"))
