@@ -47,7 +47,8 @@ def sketches(items: DataFrame, item="item_id", text="text", threshold=0.8, n=_WO
     size_class = F.floor(F.log2(F.size("_set"))).cast("int")
     missed = F.floor((F.pow(F.lit(2.0), F.col("size_class") + 1) - 1) * F.lit(1 - threshold) + F.lit(1e-9))
     sized = sets.withColumn("size_class", size_class)
-    return sized.select("item", "size_class", F.explode(F.slice("_set", F.lit(1), (missed + 1).cast("int"))).alias("hash")).distinct()
+    each = sized.select("item", "size_class", F.explode_outer(F.slice("_set", F.lit(1), (missed + 1).cast("int"))).alias("hash"))
+    return each.where(F.col("hash").isNotNull()).distinct()
 
 
 def contaminated(docs: DataFrame, items: DataFrame, key="doc_id", text="text", item="item_id", item_text="text", threshold=0.8, n=_WORDS_PER_SHINGLE) -> DataFrame:
@@ -55,7 +56,8 @@ def contaminated(docs: DataFrame, items: DataFrame, key="doc_id", text="text", i
     told = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).where(F.col("_text").isNotNull())
     # Written first, so that Spark knows the size and broadcasts only what is below its limit.
     index, _ = written(sketches(items, item, item_text, threshold, n), "sketches")
-    probes = _shingle_hashes(told, "_text", n).select("_key", F.xxhash64("_text").alias("_at"), F.explode("_hashes").alias("hash"))
+    # The outer form: for the inner one Spark tests the array beforehand, and computes its words per shingle.
+    probes = _shingle_hashes(told, "_text", n).select("_key", F.xxhash64("_text").alias("_at"), F.explode_outer("_hashes").alias("hash"))
     met = probes.join(index, "hash").select("_key", "_at", "item").distinct()
     candidates, _ = written(met, "candidates")
 
