@@ -12,21 +12,32 @@ piece of exactly ``capacity`` fills a sequence by itself.
 
 import math
 import os
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-_CACHED_WORDS = 400_000
+_CACHED_WORDS = 1_000_000
 _PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
 
+def _byte_signs() -> list[str]:
+    """The sign that byte-level vocabularies use for each byte: itself if it can be printed, else the next from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    spare = iter(range(256, 512))
+    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
+
+
 class WordTokenizer:
     """Ids of a tokenizer that drops white space, word by word with a cache of bounded size.
 
     White space always ends a token, so a text's ids are those of its words in a row. A comma or
     full stop after letters is a token of its own, and case is folded, so such words share entries.
+    A new word of Latin letters goes to the vocabulary's merges directly, any other through the
+    whole tokenizer.
     """
 
     def __init__(self, path: str | None):
@@ -38,26 +49,39 @@ class WordTokenizer:
 
             path = public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.signs = _byte_signs()
         self.known: dict[bytes, bytes] = {}
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+    def _whole(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _letters(self, word: str) -> bytes:
+        """Ids of small letters below U+0250, which are one run for the tokenizer."""
+        if not word.isascii():
+            word = "".join([self.signs[b] for b in word.encode()])
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
-    def _learn(self, missing: list[bytes]) -> None:
-        parts, wanted = {}, {}
+    def _learn(self, missing: set[bytes]) -> None:
+        known = self.known
         for raw in missing:
-            word, mark = raw.decode("utf-8", "replace"), ""
-            if word[-1] in ".," and word[:-1].isalpha():
-                word, mark = word[:-1], word[-1]
-            if word.isascii():
-                word = word.lower()
-            parts[raw] = (word, mark)
-            wanted[word] = None
+            word = raw.decode("utf-8", "replace")
+            mark = word[-1] if word[-1] in ".," and len(word) > 1 else ""
+            letters = word[:-1] if mark else word
+            small = letters.lower()
+            if not letters.isalpha() or max(letters) >= "\u0250" or len(small) != len(letters):
+                known[raw] = self._whole(word)
+                continue
+            key = small.encode()
+            ids = known.get(key)
+            if ids is None:
+                ids = known[key] = self._letters(small)
             if mark:
-                wanted[mark] = None
-        ids = dict(zip(wanted, self._encode(list(wanted))))
-        self.known.update((raw, ids[word] + ids[mark] if mark else ids[word]) for raw, (word, mark) in parts.items())
+                end = known.get(mark.encode())
+                if end is None:
+                    end = known[mark.encode()] = self._whole(mark)
+                ids += end
+            known[raw] = ids
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
@@ -69,17 +93,23 @@ class WordTokenizer:
                 known.clear()
                 missing = {w for line in words for w in line}
             if missing:
-                self._learn(list(missing))
+                self._learn(missing)
             for line in words:
                 yield b"".join(map(known.__getitem__, line))
 
 
+@lru_cache(maxsize=1)
+def shared_tokenizer(path: str | None) -> WordTokenizer:
+    """One tokenizer, and so one cache, for all tasks of a Python worker."""
+    return WordTokenizer(path)
+
+
 def token_pieces(docs: DataFrame, key="doc_id", text="text", tokenizer_path=None, end_id=2, capacity=4096) -> DataFrame:
     """One row per piece with its ids as little-endian 32-bit numbers."""
     end = int(end_id).to_bytes(4, "little")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = shared_tokenizer(tokenizer_path)
         for batch in batches:
             for first in range(0, len(batch), 256):
                 some = batch.iloc[first : first + 256]
