@@ -202,16 +202,16 @@ def labelled_pages(n_pages=240, seed=7) -> list[str]:
             else:
                 article.append(f"<p>{words('c', 15, 150)} {link(words('c', 1, 4)) if pick.random() < 0.3 else ''}</p>")
         if named and pick.random() < 0.3:
-            article.insert(pick.randint(1, len(article)), f'<aside class="related"><h3>{words("b", 1, 6)}</h3><p>{words("b", 4, 90)}</p></aside>')
+            article.insert(pick.randint(1, len(article)), f'<aside class="related"><h3>{words("b", 1, 6)}</h3><p>{words("b", 4, 220)}</p></aside>')
         body.append(part(style, "article", "post-content", "".join(article)))
         if pick.random() < 0.4:
             body.append(part(style, "aside", "sidebar", "".join(f"<p>{link(words('b', 2, 8))}</p>" for _ in range(3))))
             if named:
-                body.append(part(style, "aside", "sidebar", f"<h3>{words('b', 1, 6)}</h3><p>{words('b', 5, 90)}</p>"))
+                body.append(part(style, "aside", "sidebar", f"<h3>{words('b', 1, 6)}</h3><p>{words('b', 5, 220)}</p>"))
         if pick.random() < 0.3:
             body.append(f"<form><p>{words('b', 1, 12)}</p></form>")
         if named and pick.random() < 0.5:
-            said = "".join(f"<div><p>{words('b', 2, 90)}</p></div>" for _ in range(pick.randint(1, 5)))
+            said = "".join(f"<div><p>{words('b', 2, 220)}</p></div>" for _ in range(pick.randint(1, 5)))
             body.append(f'<section class="comments"><h2>{words("b", 1, 4)}</h2>{said}</section>')
         body.append(part(style, "footer", "footer", f"{words('b', 3, 14)}"))
         pages.append("<html><head><title>t</title></head><body>" + "".join(body) + "</body></html>")

@@ -134,3 +134,16 @@ def near_duplicates(docs: DataFrame, key="doc_id", text="text", words_per_shingl
     least = named.groupBy("label").agg(F.min("_least").alias("component_id"))
     ids = named.select("bits", "label").join(least, "label").select("bits", "component_id")
     return rows.join(ids, "bits").select(F.col("_key").alias(key), "bits", as_hex("bits").alias("fingerprint"), "component_id")
+
+
+def one_per_group(docs: DataFrame, key="doc_id", text="text", **options) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
+
+    Rows of a group without any id are one group's rows like others; one of them stays.
+    """
+    told, _ = written(near_duplicates(docs, key, text, **options).groupBy(key, "component_id").agg(F.count("*").alias("_copies")), "groups")
+    first = told.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_key"), "_copies")
+    kept = docs.join(first, docs[key].eqNullSafe(first["_key"])).drop("_key")
+    # Rows with one id are rare, and only they are gathered by it.
+    alone = kept.where("_copies = 1").drop("_copies")
+    return alone.unionByName(kept.where("_copies > 1").drop("_copies").dropDuplicates([key]))
