@@ -20,7 +20,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-_CACHED_WORDS = 1_000_000
+_CACHED_WORDS = 500_000
 _PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long"
 
 
