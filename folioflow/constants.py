@@ -142,3 +142,5 @@ CHALLENGE_WINDOW = 5000
 RATE_LIMIT_STATUS = 429
 DEFAULT_RETRY_AFTER = 30
 EDGE_ERROR_STATUSES = (520, 524)
+# First and last status of a successful answer.
+SUCCESS_STATUSES = (200, 299)

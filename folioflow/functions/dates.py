@@ -9,7 +9,6 @@ from ..constants import (
     LAST_YEAR,
     MONTHS,
     TEXT_DATE_PATTERNS,
-    TEXT_DATE_WINDOW,
     URL_DATE_PATTERN,
 )
 from .text import _col, blank_to_null, strip
@@ -81,7 +80,7 @@ def url_date(url) -> Column:
     return F.concat(year, F.lit("-"), month.cast("string"), F.lit("-1")).try_cast("date")
 
 
-def resolve_date(date_text, html, url, window=TEXT_DATE_WINDOW) -> Column:
+def resolve_date(date_text, html, url, window=None) -> Column:
     """Listing text if there is any, else a date from the page; if that does not parse, the URL."""
     return resolve_found_date(date_text, regex_date(html, window), url)
 

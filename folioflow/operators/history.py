@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 # A hot key is cut into _GROUPS * _GROUPS segments.
 _GROUPS = 32
-# Above this number of hot keys their bounds are no longer broadcast (some 8 kB each).
-_BROADCAST_KEYS = 2000
+# The rows of a hot key meet its bounds in this many places.
+_SALTS = 32
 
 
 def version_history(
@@ -25,11 +25,10 @@ def version_history(
     together, ordered by ``tie``.
     """
     hot = obs.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(key)
-    n_hot = hot.count()
-    if n_hot == 0:
+    if hot.isEmpty():
         changed = _with_changes(obs, [key], ts, tie, hash_col)
         return changed.select(*obs.columns, (F.col("_inside") + 1).cast("int").alias("version"))
-    local = _with_changes(_with_segments(obs, hot, n_hot, key, ts), [key, "_segment"], ts, tie, hash_col)
+    local = _with_changes(_with_segments(obs, hot, key, ts), [key, "_segment"], ts, tie, hash_col)
     offsets = _segment_offsets(local.where(F.col("_segment") >= 0), key, ts, tie, hash_col)
     version = F.lit(1) + F.col("_inside") + F.coalesce("_before", F.lit(0))
     return (
@@ -47,7 +46,7 @@ def _with_changes(obs: DataFrame, groups, ts, tie, hash_col) -> DataFrame:
     return obs.withColumn("_changed", changed.cast("long")).withColumn("_inside", F.sum("_changed").over(so_far))
 
 
-def _with_segments(obs: DataFrame, hot: DataFrame, n_hot: int, key, ts) -> DataFrame:
+def _with_segments(obs: DataFrame, hot: DataFrame, key, ts) -> DataFrame:
     """Adds ``_segment``: -1 for ordinary keys, else the number of the key's bounds below ``ts``."""
     n = _GROUPS * _GROUPS
     bounds = (
@@ -64,13 +63,14 @@ def _with_segments(obs: DataFrame, hot: DataFrame, n_hot: int, key, ts) -> DataF
     lasts = F.transform(F.sequence(F.lit(1), F.lit(_GROUPS - 1)), lambda g: F.element_at("_bounds", g * _GROUPS))
     inside = below(F.slice("_bounds", F.col("_group") * _GROUPS + 1, _GROUPS - 1))
     bounds = bounds.withColumn("_lasts", lasts)
-    if n_hot <= _BROADCAST_KEYS:
-        bounds = F.broadcast(bounds)
+    # Each hot key's bounds (some 8 kB) stand once per salt, so that its rows do not meet in one task.
+    bounds = bounds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
+    salted = obs.withColumn("_salt", F.pmod(F.xxhash64(*obs.columns), F.lit(_SALTS)).cast("int"))
     return (
-        obs.join(bounds, key, "left")
+        salted.join(bounds, [key, "_salt"], "left")
         .withColumn("_group", F.when(F.col("_bounds").isNotNull(), below("_lasts")))
         .withColumn("_segment", F.coalesce(F.col("_group") * _GROUPS + inside, F.lit(-1)))
-        .drop("_bounds", "_lasts", "_group")
+        .drop("_bounds", "_lasts", "_group", "_salt")
     )
 
 

@@ -114,28 +114,30 @@ def attachments(pages: DataFrame, key="page_id", url="url", html="html") -> Data
 
 
 def paginate(seeds: DataFrame, links: DataFrame, max_depth: int | None = None) -> DataFrame:
-    """Pages reached from the seeds over next-page links: ``(page, depth)``.
+    """Pages reached from the seeds over any links: ``(page, depth)`` with the least number of links.
 
-    ``seeds`` has a ``page`` column; ``links`` has ``src`` and ``dst`` with one row per page that
-    has a next page. Link lengths double each round, so a chain of n pages takes about log2(n)
-    rounds; a cycle ends the search because a round then finds nothing new.
+    ``seeds`` has a ``page`` column, ``links`` has ``src`` and ``dst``; pages may have any number of links,
+    and links may form cycles. Pages with a single link form chains, and these are followed in jumps
+    that double each round, so a chain of n pages takes about log2(n) rounds; where pages branch,
+    each round goes one link further. The search ends with a round that changes no depth.
     """
-    reached = seeds.select("page").distinct().select("page", F.lit(0).cast("long").alias("depth"))
-    jumps = links.groupBy("src").agg(F.min("dst").alias("dst"))
-    reached, jumps = cut_lineage(reached), cut_lineage(jumps)
-    length, n_reached = 1, reached.count()
+    edges = links.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct()
+    single = edges.groupBy("src").agg(F.count("*").alias("n"), F.min("dst").alias("dst")).where("n = 1").select("src", "dst")
+    steps = cut_lineage(edges.select("src", "dst", F.lit(1).cast("long").alias("length")))
+    chain, length = cut_lineage(single), 1
+    reached = cut_lineage(seeds.select("page").distinct().select("page", F.lit(0).cast("long").alias("depth")))
+    mark = None
     while True:
-        ahead = reached.join(jumps, F.col("page") == F.col("src")).select(
-            F.col("dst").alias("page"), (F.col("depth") + length).alias("depth")
+        ahead = reached.join(steps, F.col("page") == F.col("src")).select(
+            F.col("dst").alias("page"), (F.col("depth") + F.col("length")).alias("depth")
         )
-        grown = reached.unionByName(ahead).groupBy("page").agg(F.min("depth").alias("depth"))
-        reached = cut_lineage(grown)
-        n_now = reached.count()
-        if n_now == n_reached or (max_depth is not None and length > max_depth):
-            break
-        onward = jumps.select(F.col("src").alias("_mid"), F.col("dst").alias("_end"))
-        jumps = cut_lineage(
-            jumps.join(onward, F.col("dst") == F.col("_mid")).select("src", F.col("_end").alias("dst"))
-        )
-        length, n_reached = 2 * length, n_now
-    return reached if max_depth is None else reached.where(F.col("depth") <= max_depth)
+        if max_depth is not None:
+            ahead = ahead.where(F.col("depth") <= max_depth)
+        reached = cut_lineage(reached.unionByName(ahead).groupBy("page").agg(F.min("depth").alias("depth")))
+        now = tuple(reached.agg(F.count("*"), F.sum("depth")).first())
+        if now == mark:
+            return reached
+        mark, length = now, 2 * length
+        onward = chain.select(F.col("src").alias("_mid"), F.col("dst").alias("_end"))
+        chain = cut_lineage(chain.join(onward, F.col("dst") == F.col("_mid")).select("src", F.col("_end").alias("dst")))
+        steps = steps.unionByName(chain.select("src", "dst", F.lit(length).cast("long").alias("length")))

@@ -47,9 +47,17 @@ def _action(known: Column, old_hash: Column, new_hash: Column) -> Column:
     )
 
 
+def _one_per_key(rows: DataFrame, key, hash_col) -> DataFrame:
+    """The winner of each key by the order of ``dedupe_latest``, as far as the rows have it."""
+    return dedupe_latest(rows, key, [c for c in ("scraped_at", hash_col) if c in rows.columns])
+
+
 def change_status(batch: DataFrame, existing: DataFrame, hash_col="file_hash", key="identifier") -> DataFrame:
-    """Adds ``action`` (insert / update / unchanged) and the version the row will have."""
-    joined = with_current(batch, existing, hash_col, key)
+    """Adds ``action`` (insert / update / unchanged) and the version the row will have.
+
+    One row per key: several captures of a key are one change, that of the latest.
+    """
+    joined = with_current(_one_per_key(batch, key, hash_col), existing, hash_col, key)
     action = _action(F.col("known"), F.col("old_hash"), F.col(hash_col))
     version = F.when(F.col("action") == "unchanged", F.col("old_version")).otherwise(
         next_version(F.col("known"), "old_version")
@@ -62,9 +70,9 @@ def change_status(batch: DataFrame, existing: DataFrame, hash_col="file_hash", k
 
 
 def changed_only(batch: DataFrame, existing: DataFrame, hash_col="file_hash", key="identifier") -> DataFrame:
-    """Rows whose hash differs from the one last written, or that were never written."""
+    """The latest row of each key whose hash differs from the one last written, or that was never written."""
     stored = existing.select(key, F.col(hash_col).alias("_stored"), F.lit(True).alias("_seen"))
-    joined = batch.join(stored, key, "left")
+    joined = _one_per_key(batch, key, hash_col).join(stored, key, "left")
     unchanged = F.col("_seen").isNotNull() & F.col("_stored").eqNullSafe(F.col(hash_col))
     return joined.where(~unchanged).drop("_stored", "_seen")
 
@@ -180,8 +188,12 @@ def insert_new(existing: DataFrame, rows: DataFrame, key="identifier", order=("s
 
 
 def update_existing(existing: DataFrame, rows: DataFrame, update_cols, key="identifier") -> DataFrame:
-    """Set columns on stored keys only; unknown keys are ignored. ``changed`` tells the effect."""
-    new = rows.select(F.col(key), *[F.col(c).alias(f"_new_{c}") for c in update_cols])
+    """Set columns on stored keys only; unknown keys are ignored. ``changed`` tells the effect.
+
+    Of several updates of a key the latest one counts (``scraped_at``, then the new values).
+    """
+    order = [c for c in ("scraped_at", *update_cols) if c in rows.columns]
+    new = dedupe_latest(rows.select(*dict.fromkeys([key, *order])), key, order).select(F.col(key), *[F.col(c).alias(f"_new_{c}") for c in update_cols])
     joined = existing.join(new, key, "inner")
     changed = F.lit(False)
     for c in update_cols:

@@ -2,7 +2,6 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..constants import TEXT_DATE_WINDOW
 from ..functions import (
     content_hash,
     identifier_or_url,
@@ -24,15 +23,18 @@ def link_join(listing: DataFrame, pages: DataFrame, link="link", url="url") -> D
     return listing.join(pages, F.col(link) == F.col(url))
 
 
-def page_facts(pages: DataFrame, key="page_id", url="url", html="html") -> DataFrame:
-    """What an item needs from its page, so that the markup itself takes no part in joins."""
-    found = pages.select(key, url, regex_date(html, TEXT_DATE_WINDOW).alias("page_date"))
+def page_facts(pages: DataFrame, key="page_id", url="url", html="html", window=None) -> DataFrame:
+    """What an item needs from its page, so that the markup itself takes no part in joins.
+
+    ``window`` limits the search for a date to that many leading characters.
+    """
+    found = pages.select(key, url, regex_date(html, window).alias("page_date"))
     return found.join(attachments(pages, key, url, html), key, "left").drop(key)
 
 
-def build_items(listing: DataFrame, pages: DataFrame, bodies: DataFrame, run_ts: str, key="page_id") -> DataFrame:
+def build_items(listing: DataFrame, pages: DataFrame, bodies: DataFrame, run_ts: str, key="page_id", window=None) -> DataFrame:
     """Item metadata from listing rows (``link, identifier_text, date_text, body_id, partition``)."""
-    joined = with_body_name(link_join(listing, page_facts(pages, key)), bodies)
+    joined = with_body_name(link_join(listing, page_facts(pages, key, window=window)), bodies)
     day = resolve_found_date("date_text", "page_date", "url")
     identifier = identifier_or_url("identifier_text", "url")
     return joined.select(

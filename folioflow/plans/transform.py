@@ -51,7 +51,7 @@ def copied_rows(df: DataFrame, run_ts: str, content="content") -> DataFrame:
 
 
 def transform_results(landing, blobs, existing, start, end, run_ts: str) -> DataFrame:
-    """One row per selected document: transformed columns, status and the bytes to store.
+    """One row per selected document: transformed columns, status and, if it is to be stored, its bytes.
 
     The stored hash and version are joined to the narrow rows first; bytes are joined last and
     cross one shuffle. Cleaning runs in place on the rows that need it, so that html and other
@@ -75,11 +75,11 @@ def transform_results(landing, blobs, existing, start, end, run_ts: str) -> Data
     ext = F.when(html, "html").otherwise(F.col("document_type"))
     columns = _project(ready, ext, F.col("_new_hash"), version, ~html, run_ts)
     return _select(
-        ready,
+        ready.withColumn("_status", status),
         columns,
-        status.alias("status"),
+        F.col("_status").alias("status"),
         F.when(html, "text/html").otherwise(content_type("document_type")).alias("content_type"),
-        F.col("_output").alias("content"),
+        F.when(F.col("_status") == "transformed", F.col("_output")).alias("content"),
     )
 
 

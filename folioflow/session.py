@@ -32,19 +32,10 @@ def build_session(app_name="folioflow", master=None, **conf) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own.
+    Where the setting is missing, a folder beside the tables of the warehouse, which is shared as well.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current is None:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="folioflow-"))
-        current = sc.getCheckpointDir()
-    return current
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

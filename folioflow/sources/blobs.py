@@ -8,8 +8,6 @@ from ..schemas import BLOBS
 
 #: Default directory layout of stored documents.
 LAYOUT = ("body", "partition_date")
-# A century of months.
-_MAX_MONTHS = 1200
 
 
 def read_blobs(spark: SparkSession, path: str) -> DataFrame:
@@ -22,13 +20,14 @@ def read_blobs(spark: SparkSession, path: str) -> DataFrame:
 def in_months_of(blobs: DataFrame, meta: DataFrame) -> DataFrame:
     """Blobs in the month directories that ``meta`` names; the other directories are not read.
 
-    The months are a short list whatever the table size. If they are not, nothing is pruned.
+    The months are read off the narrow rows first: one value per directory of the store, whose
+    listing the driver holds anyway, so that whole directories drop out when the scan is planned.
+    A null month in ``meta`` stands for ``unknown``, as in the layout.
     """
     if "partition_date" not in blobs.columns:
         return blobs
     months = meta.select(F.coalesce("partition_date", F.lit("unknown"))).distinct()
-    named = [r[0] for r in months.limit(_MAX_MONTHS + 1).collect()]
-    return blobs if len(named) > _MAX_MONTHS else blobs.where(F.col("partition_date").isin(named))
+    return blobs.where(F.col("partition_date").isin([r[0] for r in months.collect()]))
 
 
 def read_binary_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
@@ -82,6 +81,11 @@ def latest_captures(store: DataFrame, order=("scraped_at", "file_hash")) -> Data
     return last.select("object_path", F.col("_last.capture_id").alias("capture_id"))
 
 
+def hashed_captures(store: DataFrame) -> DataFrame:
+    """(object_path, file_hash, capture_id) of one capture of each path with each hash."""
+    return store.groupBy("object_path", "file_hash").agg(F.max("capture_id").alias("capture_id"))
+
+
 def latest_blobs(store: DataFrame, order=("scraped_at", "file_hash")) -> DataFrame:
     return store.join(latest_captures(store, order).select("capture_id"), "capture_id", "left_semi")
 
@@ -89,18 +93,24 @@ def latest_blobs(store: DataFrame, order=("scraped_at", "file_hash")) -> DataFra
 def attach_content(meta: DataFrame, blobs: DataFrame, path: str = "file_path") -> DataFrame:
     """Left join of metadata to bytes; a missing object gives null content.
 
-    ``blobs`` is a table with one row per path or a store of captures; of a store the latest
-    capture is found among narrow rows first, so that the bytes take part in one join only.
+    ``blobs`` is a table with one row per path or a store of captures. Of a store, a capture is found
+    among narrow rows first, so that the bytes take part in one join only: one with the hash that the
+    metadata names, or, where they name none, the latest of the path.
     Rows without an object get a key of their own, so that failed downloads do not all meet
     in one task.
     """
     spread = F.concat(F.lit("\u0000"), F.coalesce("identifier", F.lit("")))
     wanted, stored = meta.withColumn("_key", F.coalesce(F.col(path), spread)), "object_path"
     if "capture_id" in blobs.columns:
-        captures = latest_captures(blobs).withColumnRenamed("object_path", "_key")
-        located = wanted.join(captures, "_key", "left")
+        by_hash = "file_hash" in meta.columns and "file_hash" in blobs.columns
+        captures = (hashed_captures(blobs) if by_hash else latest_captures(blobs)).withColumnRenamed("object_path", "_key")
+        located = wanted.join(captures, ["_key", "file_hash"] if by_hash else "_key", "left")
         wanted, stored = located.withColumn("_key", F.coalesce("capture_id", spread)), "capture_id"
     bodies = blobs.select(F.col(stored).alias("_key"), "content")
+    if stored == "capture_id":
+        # Captures that nobody asked for drop out before the bytes are dealt.
+        asked = wanted.where(F.col("capture_id").isNotNull()).select(F.col("capture_id").alias("_key"))
+        bodies = bodies.join(asked, "_key", "left_semi")
     return wanted.join(bodies, "_key", "left").select(*meta.columns, "content")
 
 

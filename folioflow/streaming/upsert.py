@@ -1,23 +1,37 @@
-"""Micro-batch upsert of captures into a landing change log."""
+"""Micro-batch upsert of captures into a landing change log.
+
+The log is a folder per stream (named after its checkpoint), micro-batch and bucket of the identifier. A
+stream only ever replaces its own folders, so that a second stream, or one that starts again with a new
+checkpoint, adds to what is stored. A batch looks up its own identifiers, and the bucket is part of
+that lookup, so Spark leaves out the folders of buckets that the batch does not touch.
+"""
+
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators.merge import landing_merge
 from ..schemas import LANDING
 
-_VERSIONED = [f.name for f in LANDING if f.name != "version"]
+_VERSIONED = [f.name for f in LANDING if f.name not in ("version", "identifier")]
+_BUCKETS = 64
+_FOLDERS = [T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType()), T.StructField("bucket", T.IntegerType())]
+_SCHEMA = T.StructType(LANDING.fields + _FOLDERS)
+
 
+def _bucket():
+    return F.pmod(F.xxhash64("identifier"), F.lit(_BUCKETS)).cast("int")
 
-def _log(spark: SparkSession, table: str, before: int | None = None) -> DataFrame:
-    schema = T.StructType(LANDING.fields + [T.StructField("batch_id", T.LongType())])
-    log = spark.read.schema(schema).parquet(table)
-    return log if before is None else log.where(F.col("batch_id") < before)
+
+def _log(spark: SparkSession, table: str) -> DataFrame:
+    where = spark._jvm.org.apache.hadoop.fs.Path(table)
+    if not where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], _SCHEMA)
+    return spark.read.schema(_SCHEMA).parquet(table)
 
 
 def _latest(log: DataFrame) -> DataFrame:
-    newest = log.groupBy("identifier").agg(
-        F.max(F.struct("version", *[c for c in _VERSIONED if c != "identifier"])).alias("_row")
-    )
+    newest = log.groupBy("identifier").agg(F.max(F.struct("version", *_VERSIONED)).alias("_row"))
     return newest.select("identifier", "_row.*").select(*LANDING.fieldNames())
 
 
@@ -26,21 +40,34 @@ def current_table(spark: SparkSession, table: str) -> DataFrame:
     return _latest(_log(spark, table))
 
 
-def upsert_batch(batch: DataFrame, batch_id: int, table: str, run_ts: str) -> None:
-    """Append the rows this batch inserts or updates as ``batch_id=N``.
+def stream_name(checkpoint: str) -> str:
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
 
-    Only stored rows of the batch's own identifiers are looked at, and only changes are written.
-    Running a batch again replaces its own folder and reads the log up to the batch before.
+def stored_before(batch: DataFrame, batch_id: int, table: str, stream: str) -> DataFrame:
+    """What is stored of the batch's identifiers, without what this batch itself wrote earlier."""
+    touched = batch.select("identifier").distinct().withColumn("bucket", _bucket())
+    log = _log(batch.sparkSession, table).where((F.col("stream") != stream) | (F.col("batch_id") < batch_id))
+    return _latest(log.join(touched, ["bucket", "identifier"], "left_semi"))
+
+
+def upsert_batch(batch: DataFrame, batch_id: int, table: str, run_ts: str, stream: str = "batch") -> None:
+    """Append the rows this batch inserts or updates.
+
+    Only changes are written. Running a batch again replaces its own folder and nothing else.
     """
-    spark = batch.sparkSession
-    if batch_id == 0:
-        existing = spark.createDataFrame([], LANDING)
-    else:
-        touched = _log(spark, table, batch_id).join(batch.select("identifier"), "identifier", "left_semi")
-        existing = _latest(touched)
+    existing = stored_before(batch, batch_id, table, stream)
     merged = landing_merge(existing, batch, run_ts, how="right")
-    changes = merged.where(F.col("action").isin("insert", "update")).drop("action")
-    changes.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+    changes = merged.where(F.col("action").isin("insert", "update")).drop("action").withColumn("bucket", _bucket())
+    changes.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("bucket").parquet(
+        f"{table}/stream={stream}/batch_id={batch_id}"
+    )
+
+
+def compact(spark: SparkSession, table: str, to: str) -> None:
+    """The current rows as the first batch of a new log, for the streams that follow to go on with."""
+    rows = current_table(spark, table).withColumn("bucket", _bucket())
+    rows.repartition("bucket").write.partitionBy("bucket").parquet(f"{to}/stream=compacted/batch_id=0")
 
 
 def upsert_stream(spark, source: str, schema, table: str, checkpoint: str, run_ts: str, max_files=None):
@@ -48,9 +75,10 @@ def upsert_stream(spark, source: str, schema, table: str, checkpoint: str, run_t
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    stream = stream_name(checkpoint)
     query = (
         reader.parquet(source)
-        .writeStream.foreachBatch(lambda batch, i: upsert_batch(batch, i, table, run_ts))
+        .writeStream.foreachBatch(lambda batch, i: upsert_batch(batch, i, table, run_ts, stream))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioflow import functions as fn
-from folioflow.operators.classify import classify_fetch
+from folioflow.constants import CHALLENGE_WINDOW
+from folioflow.operators.classify import classify_fetch, usable_pages
 from folioflow.operators.filters import candidate_filter, filter_by_date, filter_by_date_compat
 
 
@@ -131,10 +132,11 @@ def test_classify_fetch(spark):
     df = spark.createDataFrame(rows, "i int, status int, body string, retry_after string")
     got = {r["i"]: (r["fetch_class"], r["retry_after_seconds"]) for r in classify_fetch(df).collect()}
     assert got == {
-        1: ("challenge", None), 2: ("other", None), 3: ("rate_limited", 60), 4: ("rate_limited", 30), 5: ("edge_error", None),
-        6: ("other", None), 7: ("other", None), 8: ("other", None), 9: ("other", None),
+        1: ("challenge", None), 2: ("http_error", None), 3: ("rate_limited", 60), 4: ("rate_limited", 30), 5: ("edge_error", None),
+        6: ("http_error", None), 7: ("other", None), 8: ("challenge", None), 9: ("http_error", None),
     }
-    assert classify_fetch(df, window=None).where("i = 8").first()["fetch_class"] == "challenge"
+    assert classify_fetch(df, window=CHALLENGE_WINDOW).where("i = 8").first()["fetch_class"] == "http_error"
+    assert [r["i"] for r in usable_pages(df).collect()] == [7]
     raw = df.withColumn("body", F.concat(F.unhex(F.lit("FFFE")), F.col("body").cast("binary")))
     assert classify_fetch(raw).where("i = 1").first()["fetch_class"] == "challenge"
 

@@ -209,3 +209,10 @@ def test_paginate(spark):
     assert depth == want
     near = {r["page"] for r in links.paginate(seeds, links_df, max_depth=2).collect()}
     assert near == {p for p, d in want.items() if d <= 2}
+
+
+def test_paginate_follows_every_link(spark):
+    edges = [("p", "a"), ("p", "b"), ("b", "c"), ("c", "d"), ("d", "p"), ("d", "e"), ("e", "f"), ("f", "g"), ("p", "g"), ("x", "y"), ("a", None)]
+    seeds = spark.createDataFrame([("p",), ("p",)], "page string")
+    got = links.paginate(seeds, spark.createDataFrame(edges, "src string, dst string")).collect()
+    assert {r["page"]: r["depth"] for r in got} == {"p": 0, "a": 1, "b": 1, "g": 1, "c": 2, "d": 3, "e": 4, "f": 5} and len(got) == 8

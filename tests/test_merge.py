@@ -180,3 +180,15 @@ def test_upsert_counts(spark, how):
     old = stored(spark, [("same", "a", 3), ("other", "a", 3), ("untouched", "a", 2)])
     new = capture(spark, [("same", "a", "t1"), ("other", "b", "t1"), ("new", "c", "t1")])
     assert tuple(stats.upsert_counts(merge.landing_merge(old, new, NOW, how=how)).first()) == (1, 1, 1, 2)
+
+
+def test_repeated_keys_in_a_batch_count_once(spark):
+    old = spark.createDataFrame([("x", "a", 1)], "identifier string, file_hash string, version int")
+    batch = spark.createDataFrame(
+        [("x", "b", "t1"), ("x", "c", "t2"), ("y", "d", "t1"), ("y", "d", "t1")], "identifier string, file_hash string, scraped_at string"
+    )
+    got = {(r["identifier"], r["file_hash"], r["action"], r["new_version"]) for r in merge.change_status(batch, old).collect()}
+    assert got == {("x", "c", "update", 2), ("y", "d", "insert", 1)}
+    assert merge.changed_only(batch, old).count() == 2 and merge.change_status(batch, old).count() == 2
+    updated = merge.update_existing(old, batch, ["file_hash"]).collect()
+    assert [(r["identifier"], r["file_hash"], r["changed"]) for r in updated] == [("x", "c", True)]

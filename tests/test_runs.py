@@ -220,10 +220,32 @@ def test_stream_upsert(spark, tmp_path):
     assert now() == want
     # Nothing new: the run ends without a change. The last batch again: same folder, same rows.
     upsert.upsert_stream(spark, source, rows.schema, table, checkpoint, NOW)
-    upsert.upsert_batch(captures(spark, waves[1]), 1, table, NOW)
+    upsert.upsert_batch(captures(spark, waves[1]), 1, table, NOW, upsert.stream_name(checkpoint))
     assert now() == want
 
 
+def test_stream_upsert_with_another_checkpoint_keeps_what_is_stored(spark, tmp_path):
+    table = str(tmp_path / "table")
+    first, second = captures(spark, [("a", "1", "t1"), ("b", "1", "t1")]), captures(spark, [("c", "5", "t1"), ("b", "2", "t2")])
+    for name, rows in (("one", first), ("two", second)):
+        rows.write.parquet(str(tmp_path / name))
+        for _ in range(2):
+            upsert.upsert_stream(spark, str(tmp_path / name), rows.schema, table, str(tmp_path / f"check-{name}"), NOW)
+    want = {"a": ("1", 1), "b": ("2", 2), "c": ("5", 1)}
+
+    def now(path):
+        return {r["identifier"]: (r["file_hash"], r["version"]) for r in upsert.current_table(spark, path).collect()}
+
+    assert now(table) == want
+    # The same files once more from the start: nothing changes and nothing is written.
+    upsert.upsert_stream(spark, str(tmp_path / "two"), second.schema, table, str(tmp_path / "check-three"), NOW)
+    assert now(table) == want and upsert._log(spark, table).count() == 4
+    upsert.compact(spark, table, str(tmp_path / "compacted"))
+    assert now(str(tmp_path / "compacted")) == want
+    upsert.upsert_batch(captures(spark, [("b", "3", "t3")]), 0, str(tmp_path / "compacted"), NOW)
+    assert now(str(tmp_path / "compacted")) == {**want, "b": ("3", 3)}
+
+
 def test_stream_versions(spark, tmp_path):
     root, schema = str(tmp_path), "identifier string, seen_at timestamp_ntz, event_id long, file_hash string"
     at = dt.datetime(2024, 1, 1)
@@ -271,6 +293,21 @@ def test_transform_reads_only_the_months_it_selects(spark, tmp_path):
     assert [(r["identifier"], r["status"]) for r in results.collect()] == [("a", "transformed")]
 
 
+def test_transform_reads_the_bytes_that_landed_and_writes_only_changes(spark, tmp_path):
+    def at(name):
+        return str(tmp_path / name)
+
+    one = Paths(at("store"), None, at("l1"), at("r1"), None, at("t1"))
+    run_workflow(spark, items(spark, [("a", page("new"), "t5"), ("b", page("same"), "t5")]), one, "2024-01-01", "2024-12-31", NOW)
+    # A capture with an older time arrives later: it is what the landing table names, so its bytes count.
+    two = Paths(at("store"), at("l1"), at("l2"), at("r2"), at("t1"), at("t2"))
+    late = items(spark, [("a", page("late"), "t1"), ("b", page("same"), "t6")])
+    run_workflow(spark, late, two, "2024-01-01", "2024-12-31", "run-2")
+    rows = {r["identifier"]: r for r in spark.read.parquet(at("r2")).collect()}
+    assert rows["a"]["new_hash"] == sha("<body><p>late</p></body>") and rows["a"]["status"] == "transformed"
+    assert rows["b"]["status"] == "skipped" and rows["b"]["content"] is None
+
+
 def test_directory_values_stay_text(spark, tmp_path):
     df = spark.createDataFrame([("007", "2024", "x")], "body string, partition_date string, identifier string")
     src.write_partitioned(df, str(tmp_path / "t"))

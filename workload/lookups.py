@@ -318,13 +318,13 @@ def _classified(text):
     hit = " OR ".join(f"contains(lower({text}), '{m}')" for m in markers)
     return f"""SELECT page_id, status, CASE WHEN status = 429 THEN 'rate_limited'
         WHEN status IN (403, 503) AND ({hit}) THEN 'challenge' WHEN status BETWEEN 520 AND 524 THEN 'edge_error'
-        ELSE 'other' END AS fetch_class,
+        WHEN status BETWEEN 200 AND 299 THEN 'other' ELSE 'http_error' END AS fetch_class,
         CASE WHEN status = 429 THEN coalesce(TRY_CAST(retry_after AS INTEGER), 30) END AS retry_after_seconds FROM fetches"""
 
 
-@query("classify_fetch", ctes("fetches") + _classified("substr(body, 1, 5000)"))
+@query("classify_fetch", ctes("fetches") + _classified("body"))
 def classify_fetch(spark, sf):
-    """Markers count in the leading window only, as a challenge page is short."""
+    """Markers count anywhere in the body."""
     return classify.classify_fetch(fetches(spark, sf)).drop("body", "retry_after")
 
 
@@ -333,7 +333,7 @@ def classify_fetch_whole(spark, sf):
     return classify.classify_fetch(fetches(spark, sf), window=None).drop("body", "retry_after")
 
 
-@query("usable_pages", ctes("fetches") + f"SELECT page_id, status FROM ({_classified('substr(body, 1, 5000)')}) WHERE fetch_class = 'other'")
+@query("usable_pages", ctes("fetches") + f"SELECT page_id, status FROM ({_classified('body')}) WHERE fetch_class = 'other'")
 def usable_pages(spark, sf):
     """Pages kept for the corpus."""
     return classify.usable_pages(fetches(spark, sf)).select("page_id", "status")

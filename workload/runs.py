@@ -138,6 +138,18 @@ def stream_upsert(spark, sf):
     return upsert.current_table(spark, f"{root}/table")
 
 
+@query("stream_rerun", ctes("docs", "landing", "landing_prev") + upserted_sql("1"))
+def stream_rerun(spark, sf):
+    """The same, and then all files once more, by the old and by a new checkpoint: nothing changes."""
+    root = scratch_path(spark, "stream-rerun")
+    waves = [(landing_prev(spark, sf).select(*META), OLD_TS), (landing(spark, sf).select(*META), RUN_TS)]
+    for i, (rows, run_ts) in enumerate(waves):
+        rows.write.parquet(f"{root}/source-{i}")
+        for checkpoint in ("one", "one", "two"):
+            upsert.upsert_stream(spark, f"{root}/source-{i}", rows.schema, f"{root}/table", f"{root}/{checkpoint}-{i}", run_ts)
+    return upsert.current_table(spark, f"{root}/table")
+
+
 @query(
     "stream_versions",
     ctes("observations", "history")

@@ -358,7 +358,7 @@ def detail_pages(spark, sf):
 _MARKER = "<title>Just a Moment</title>"
 
 CTE["fetches"] = f"""fetches AS (
-  SELECT page_id, CAST(CASE page_id % 6 WHEN 2 THEN 403 WHEN 3 THEN 429 WHEN 4 THEN 503 WHEN 5 THEN 522 ELSE 200 END AS INTEGER) AS status,
+  SELECT page_id, CAST(CASE WHEN page_id % 10 = 7 THEN 404 WHEN page_id % 10 = 9 THEN 500 ELSE CASE page_id % 6 WHEN 2 THEN 403 WHEN 3 THEN 429 WHEN 4 THEN 503 WHEN 5 THEN 522 ELSE 200 END END AS INTEGER) AS status,
          CASE WHEN page_id % 4 = 0 THEN '{_MARKER}' ELSE '' END || html AS body,
          CASE page_id % 3 WHEN 0 THEN CASE page_id % 2 WHEN 1 THEN '60' ELSE 'soon' END END AS retry_after
   FROM pages)"""
@@ -368,7 +368,7 @@ def fetches(spark, sf):
     n = F.col("page_id")
     return table(spark, sf, "pages").select(
         "page_id",
-        F.when(n % 6 == 2, 403).when(n % 6 == 3, 429).when(n % 6 == 4, 503).when(n % 6 == 5, 522).otherwise(200).alias("status"),
+        F.when(n % 10 == 7, 404).when(n % 10 == 9, 500).when(n % 6 == 2, 403).when(n % 6 == 3, 429).when(n % 6 == 4, 503).when(n % 6 == 5, 522).otherwise(200).alias("status"),
         F.concat(F.when(n % 4 == 0, _MARKER).otherwise(""), "html").alias("body"),
         F.when(n % 3 == 0, F.when(n % 2 == 1, "60").otherwise("soon")).alias("retry_after"),
     )
