@@ -26,18 +26,38 @@ class Paths(NamedTuple):
     transformed_out: str
     #: Directory layout of the store and the results.
     layout: tuple = LAYOUT
+    #: Tables that every run adds to, left out if not named: items that did not land, statistics by phase.
+    rejects: str | None = None
+    stats: str | None = None
+
+
+class RunFailed(RuntimeError):
+    """A phase failed; ``summary`` is the row that tells which."""
+
+    def __init__(self, summary):
+        super().__init__(f"{summary['phase']} phase failed")
+        self.summary = summary
 
 
 def _table(spark: SparkSession, path, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path) if path else spark.createDataFrame([], schema)
 
 
+def _kept(stats: DataFrame, paths: Paths, phase: str, run_ts: str) -> DataFrame:
+    """The statistics of a phase, added to those of earlier runs if a table for them is named."""
+    if paths.stats:
+        stats.withColumn("run_ts", F.lit(run_ts)).write.mode("append").parquet(f"{paths.stats}/{phase}")
+    return stats
+
+
 def run_landing(spark: SparkSession, items: DataFrame, paths: Paths, run_ts: str) -> DataFrame:
     """Runs the landing phase and returns its upsert counts."""
     existing = _table(spark, paths.landing_in, LANDING)
-    merged, _ = landing_run(items, existing, paths.store, run_ts, paths.layout)
+    merged, rejects = landing_run(items, existing, paths.store, run_ts, paths.layout)
     merged.write.parquet(paths.landing_out)
-    return upsert_counts(spark.read.parquet(paths.landing_out))
+    if paths.rejects:
+        rejects.withColumn("run_ts", F.lit(run_ts)).write.mode("append").parquet(paths.rejects)
+    return _kept(upsert_counts(spark.read.parquet(paths.landing_out)), paths, "landing", run_ts)
 
 
 def run_transform(spark: SparkSession, paths: Paths, start, end, run_ts: str) -> DataFrame:
@@ -51,25 +71,29 @@ def run_transform(spark: SparkSession, paths: Paths, start, end, run_ts: str) ->
     write_partitioned(results.withColumn("body", F.coalesce("body", F.lit("unknown"))), paths.results, paths.layout)
     written = spark.read.schema(results.schema).parquet(paths.results)
     apply_results(existing, written).write.parquet(paths.transformed_out)
-    return transform_stats(written)
+    return _kept(transform_stats(written), paths, "transform", run_ts)
 
 
-def run_workflow(spark, items, paths: Paths, start, end, run_ts: str, skip_transform=False) -> DataFrame:
+def run_workflow(spark, items, paths: Paths, start, end, run_ts: str, skip_transform=False, raise_on_failure=True) -> DataFrame:
     """One-row summary: status, failed, start_date, end_date, phase.
 
-    A failed transform shows in the status; the landing tables stay as written.
+    A failed phase raises ``RunFailed`` with the summary, or shows in the status only if
+    ``raise_on_failure`` is false; tables written before it stay.
     """
-    phase, failed = "landing", 0
+    phase, failed, cause = "landing", 0, None
     try:
         run_landing(spark, items, paths, run_ts).count()
         if not skip_transform:
             phase = "transform"
             run_transform(spark, paths, start, end, run_ts).count()
         phase = "done"
-    except Exception:
+    except Exception as error:
         log.exception("%s phase failed", phase)
-        failed = 1
+        failed, cause = 1, error
     outcome = spark.range(1).select(F.lit(failed).alias("failed"))
-    return run_status(outcome).select(
+    summary = run_status(outcome).select(
         "*", F.lit(start).alias("start_date"), F.lit(end).alias("end_date"), F.lit(phase).alias("phase")
     )
+    if cause is not None and raise_on_failure:
+        raise RunFailed(summary.first()) from cause
+    return summary

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from folioflow import sources as src
 from folioflow.plans.landing import landing_run, with_item_content
 from folioflow.plans.transform import apply_results, transform_results
-from folioflow.plans.workflow import Paths, run_landing, run_transform, run_workflow
+from folioflow.plans.workflow import Paths, RunFailed, run_landing, run_transform, run_workflow
 from folioflow.schemas import BLOBS, ITEM, LANDING, TRANSFORMED
 from folioflow.streaming import upsert, versions
 
@@ -191,12 +191,26 @@ def test_workflow(spark, tmp_path):
     got = {r["identifier"]: (r["version"], r["new_hash"]) for r in spark.read.parquet(at("t2")).collect()}
     assert got == {"a": (2, sha("<body><p>new</p></body>")), "b": (1, sha("<body><p>two</p></body>"))}
     # Output that exists already fails the landing phase, and the transform is not tried.
-    failed = run_workflow(spark, changed, two, "2024-01-01", "2024-12-31", "run-3").first()
+    failed = run_workflow(spark, changed, two, "2024-01-01", "2024-12-31", "run-3", raise_on_failure=False).first()
     assert (failed["status"], failed["failed"], failed["phase"]) == ("Failed", 1, "landing")
     # A failed transform shows in the status.
     three = Paths(at("store"), at("l2"), at("l3"), at("r3"), at("t2"), at("t2"))
-    failed = run_workflow(spark, changed, three, "2024-01-01", "2024-12-31", "run-4").first()
+    failed = run_workflow(spark, changed, three, "2024-01-01", "2024-12-31", "run-4", raise_on_failure=False).first()
     assert (failed["status"], failed["phase"]) == ("Failed", "transform")
+    with pytest.raises(RunFailed) as raised:
+        run_workflow(spark, changed, two, "2024-01-01", "2024-12-31", "run-5")
+    assert raised.value.summary["phase"] == "landing"
+
+
+def test_workflow_keeps_rejects_and_statistics(spark, tmp_path):
+    def at(name):
+        return str(tmp_path / name)
+
+    paths = Paths(at("store"), None, at("l1"), at("r1"), None, at("t1"), rejects=at("rejects"), stats=at("stats"))
+    run_workflow(spark, items(spark, [("a", page("one"), "t1"), ("b", None, "t1")]), paths, "2024-01-01", "2024-12-31", NOW)
+    assert [(r["identifier"], r["stage"], r["run_ts"]) for r in spark.read.parquet(at("rejects")).collect()] == [("b", "hash", NOW)]
+    assert spark.read.parquet(at("stats/landing")).first()["upserted"] == 1
+    assert spark.read.parquet(at("stats/transform")).first()["transformed"] == 1
 
 
 def captures(spark, rows):
