@@ -56,5 +56,10 @@ def clean_pages(pages: DataFrame, html="html") -> DataFrame:
 
 
 def clean_pages_by_nodes(pages: DataFrame, key="page_id", html="html") -> DataFrame:
-    """The same result from the element table, for when that table exists anyway."""
-    return cleaned_markup(dom_nodes(pages, key, html, with_markup=True), key)
+    """The same result from the element table, for when that table exists anyway.
+
+    Every row is a page of its own, so captures that share a key, or have none, stay apart.
+    """
+    row = F.struct(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key")).alias("_page")
+    cleaned = cleaned_markup(dom_nodes(pages.select(row, html), "_page", html, with_markup=True), "_page")
+    return cleaned.select(F.col("_page.key").alias(key), *[c for c in cleaned.columns if c != "_page"])

@@ -216,3 +216,14 @@ def test_paginate_follows_every_link(spark):
     seeds = spark.createDataFrame([("p",), ("p",)], "page string")
     got = links.paginate(seeds, spark.createDataFrame(edges, "src string, dst string")).collect()
     assert {r["page"]: r["depth"] for r in got} == {"p": 0, "a": 1, "b": 1, "g": 1, "c": 2, "d": 3, "e": 4, "f": 5} and len(got) == 8
+
+
+def test_captures_that_share_a_key_stay_apart(spark):
+    texts = ["<body><p>one</p></body>", "<body><div>two</div></body>", "<body><div>two</div></body>"]
+    pages = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[0])], "page_id long, html string")
+    columns = ["page_id", "cleaned", "tier", "tag", "text_len"]
+
+    def rows(df):
+        return sorted((tuple(r) for r in df.select(*columns).collect()), key=str)
+
+    assert rows(clean.clean_pages_by_nodes(pages)) == rows(clean.clean_pages(pages)) and pages.count() == 4
