@@ -19,7 +19,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from .scratch import written
 
 UND = "und"
 _LETTER = re.compile(r"[^\W\d_]")
@@ -164,7 +166,8 @@ def training_rows(docs: DataFrame, max_docs=300, key="doc_id", lang="lang", text
     """At most ``max_docs`` whole documents of each language, chosen by a hash of their id."""
     named = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(key).isNotNull())
     rows = named.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(F.col(key)).alias("_at"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("_n"))
+    # Written first: one row per language, so Spark knows that it is small and deals no text by language.
+    sizes, _ = written(rows.groupBy("lang").agg(F.count("*").alias("_n")), "languages")
     share = (F.col("_at") % 1_000_000 + 1_000_000) % 1_000_000 < 1_000_000.0 * 2 * max_docs / F.col("_n")
     near = rows.join(sizes, "lang").where(share)
     place = F.row_number().over(Window.partitionBy("lang").orderBy("_at", "text"))
@@ -192,9 +195,6 @@ def fit(docs: DataFrame, order=4, max_docs=300, key="doc_id", lang="lang", text=
 
 def identify(text: str | Column, model: PPM) -> Column:
     """``(lang_pred, score)`` of a text column; the score is the winner's share of 2^-bits."""
-    spark_column = F.col(text) if isinstance(text, str) else text
-    from pyspark.sql import SparkSession
-
     shared = SparkSession.active().sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
@@ -210,7 +210,7 @@ def identify(text: str | Column, model: PPM) -> Column:
                 score[good] = 1.0 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000.0)).sum(axis=1)
             yield pd.DataFrame({"lang_pred": names[pred], "score": score})
 
-    return predict(spark_column)
+    return predict(text)
 
 
 def held_out(key="doc_id") -> Column:
