@@ -46,9 +46,11 @@ def sort_shard(symbols: np.ndarray, ends: np.ndarray) -> np.ndarray:
         step *= 2
 
 
-def repeated_blocks(segments: list[bytes], length: int, shard_bytes=1 << 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated_blocks(segments: list[bytes], length: int, shard_bytes=1 << 14) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Segment number, position and block number of every string of ``length`` that occurs twice or more."""
     rows_segment, rows_position, symbols_before, step_left = [], [], [], []
+    # One radix pass sorts 8-bit symbols; no byte of UTF-8 text is 255.
+    kind = np.uint16 if any(b"\xff" in s for s in segments) else np.uint8
     first, offset = 0, 0
     while first < len(segments):
         last, size = first, 0
@@ -67,8 +69,8 @@ def repeated_blocks(segments: list[bytes], length: int, shard_bytes=1 << 16) ->
         row_of[order] = np.arange(len(order))
         begins = np.repeat(stops - sizes, sizes)
         # The transform: the symbol before each row's suffix, 0 where a segment begins.
-        symbols_before.append(np.where(order > begins[order], symbols[np.maximum(order - 1, 0)], 0).astype(np.uint16))
-        step_left.append(row_of[np.maximum(order - 1, 0)] + offset)
+        symbols_before.append(np.where(order > begins[order], symbols[np.maximum(order - 1, 0)], 0).astype(kind))
+        step_left.append((row_of[np.maximum(order - 1, 0)] + offset).astype(np.int32))
         owner = np.repeat(np.arange(first, last), sizes)
         rows_segment.append(owner[order])
         rows_position.append((np.arange(len(order)) - begins)[order])
@@ -77,19 +79,19 @@ def repeated_blocks(segments: list[bytes], length: int, shard_bytes=1 << 16) ->
     if not rows_segment:
         return none, none, none
     before, left = np.concatenate(symbols_before), np.concatenate(step_left)
-    rows = np.arange(len(before))  # the shards one after the other: the interleave by no character
-    block = np.zeros(len(before), np.int64)
-    for _ in range(length):
+    rows = np.arange(len(before), dtype=np.int32)  # the shards one after the other: the interleave by no character
+    block = np.zeros(len(before), np.int32)
+    for done in range(1, length + 1):
         symbol = before[rows]
-        inner = symbol > 0
-        rows, block, symbol = rows[inner], block[inner], symbol[inner]
-        by = np.argsort(symbol, kind="stable")
+        # Rows at the beginning of a segment lead nowhere; they sort first.
+        by = np.argsort(symbol, kind="stable")[np.count_nonzero(symbol == 0) :]
         rows, block, symbol = left[rows[by]], block[by], symbol[by]
         edge = np.ones(len(rows) + 1, bool)
         edge[1:-1] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
-        block = np.cumsum(edge[:-1])
-        open_rows = ~(edge[:-1] & edge[1:])
-        rows, block = rows[open_rows], block[open_rows]
+        block = np.cumsum(edge[:-1], dtype=np.int32)
+        alone = edge[:-1] & edge[1:]
+        if done == length or 10 * np.count_nonzero(alone) > len(rows):
+            rows, block = rows[~alone], block[~alone]
         if not len(rows):
             return none, none, none
     return np.concatenate(rows_segment)[rows], np.concatenate(rows_position)[rows], block

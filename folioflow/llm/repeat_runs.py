@@ -48,6 +48,29 @@ def _powers(n: int, factor: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def run_grams(data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The least k-gram of each run, with no k-gram known as frequent."""
+    if len(data) < WINDOW:
+        return np.zeros(0, np.int64)
+    least, good = _windows(gram_hashes(data) >> np.uint64(1), ends)
+    return least[_firsts(least, good)].view(np.int64)
+
+
+def _windows(h: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Least k-gram of every window, and which windows lie within one text."""
+    least = window_least(h, WINDOW - GRAM + 1)
+    starts = np.concatenate([[0], ends[:-1]])
+    good = np.zeros(len(least) + 1, np.int8)
+    long = ends - starts >= WINDOW
+    np.add.at(good, starts[long], 1)
+    np.add.at(good, ends[long] - WINDOW + 1, -1)
+    return least, np.cumsum(good[: len(least)], dtype=np.int8) > 0
+
+
+def _firsts(least: np.ndarray, good: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(good & np.concatenate([[True], (least[1:] != least[:-1]) | ~good[:-1]]))
+
+
 def runs(data: np.ndarray, ends: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of the windows of texts that stand one after the other in ``data`` and end at ``ends``.
 
@@ -62,15 +85,9 @@ def runs(data: np.ndarray, ends: np.ndarray, frequent: np.ndarray) -> tuple[np.n
     if len(frequent):
         at = np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)
         h = np.where(frequent[at] == h, h | _LAST, h)
-    least = window_least(h, WINDOW - GRAM + 1)
-    n = len(least)
     starts = np.concatenate([[0], ends[:-1]])
-    good = np.zeros(n + 1, np.int8)
-    long = ends - starts >= WINDOW
-    np.add.at(good, starts[long], 1)
-    np.add.at(good, ends[long] - WINDOW + 1, -1)
-    good = np.cumsum(good[:n]) > 0
-    first = np.flatnonzero(good & np.concatenate([[True], (least[1:] != least[:-1]) | ~good[:-1]]))
+    least, good = _windows(h, ends)
+    first = _firsts(least, good)
     stop = np.flatnonzero(good & np.concatenate([(least[1:] != least[:-1]) | ~good[1:], [True]])) + 1
     # The last window of a text and the first of the next never touch: 99 positions lie between.
     count = stop - first

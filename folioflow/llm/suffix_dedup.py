@@ -27,43 +27,45 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from .bwt_merge import repeated_blocks
-from .repeat_runs import WINDOW, runs
+from .repeat_runs import WINDOW, run_grams, runs
 from .scratch import written
 
 MOST_FREQUENT = 1_000_000  # k-grams, 8 MB
 _OFTEN_IN_TASK, _OFTEN = 4, 64
 _HELD_RUNS = 500_000
-_TEXTS_BYTES = 1 << 18
-_MERGE_BYTES = 1 << 18
+_TEXTS_BYTES = 1 << 16
+_MERGE_BYTES = 1 << 16
 _NO_ID = -(1 << 63)
 _RUN = "doc long, text_key long, place long, gram long, body long"
 _FOUND = "doc long, text_key long, start long, size long, gram long"
 
 
+def _joined(batch: pd.DataFrame) -> Iterator[tuple[list, list, np.ndarray, np.ndarray]]:
+    """Texts of a batch joined to parts that fit a cache: ids, text keys, bytes, and where each text ends."""
+    docs, keys, texts, size = [], [], [], 0
+    for doc, key, text in zip(batch["doc"], batch["text_key"], batch["text"]):
+        docs.append(doc)
+        keys.append(key)
+        texts.append(text.encode("utf-8", "replace"))
+        size += len(texts[-1])
+        if size >= _TEXTS_BYTES:
+            yield docs, keys, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+            docs, keys, texts, size = [], [], [], 0
+    if texts:
+        yield docs, keys, np.frombuffer(b"".join(texts), np.uint8), np.cumsum([len(t) for t in texts])
+
+
 def _text_runs(batches: Iterator[pd.DataFrame], frequent: np.ndarray) -> Iterator[list[np.ndarray]]:
     """Runs of whole batches of texts, as arrays doc, text_key, start, count, gram, body, twice."""
     held, n = [], 0
-
-    def flush(docs, keys, texts):
-        ends = np.cumsum([len(t) for t in texts])
-        owner, start, count, gram, body, twice = runs(np.frombuffer(b"".join(texts), np.uint8), ends, frequent)
-        return np.array(docs, np.int64)[owner], np.array(keys, np.int64)[owner], start, count, gram, body, twice
-
     for batch in batches:
-        docs, keys, texts, size = [], [], [], 0
-        for doc, key, text in zip(batch["doc"], batch["text_key"], batch["text"]):
-            docs.append(doc), keys.append(key), texts.append(text.encode("utf-8", "replace"))
-            size += len(texts[-1])
-            if size >= _TEXTS_BYTES:
-                held.append(flush(docs, keys, texts))
-                n += len(held[-1][0])
-                docs, keys, texts, size = [], [], [], 0
+        for docs, keys, data, ends in _joined(batch):
+            owner, *rest = runs(data, ends, frequent)
+            held.append((np.array(docs, np.int64)[owner], np.array(keys, np.int64)[owner], *rest))
+            n += len(owner)
             if n >= _HELD_RUNS:
                 yield [np.concatenate(c) for c in zip(*held)]
                 held, n = [], 0
-        if texts:
-            held.append(flush(docs, keys, texts))
-            n += len(held[-1][0])
     if held:
         yield [np.concatenate(c) for c in zip(*held)]
 
@@ -71,15 +73,26 @@ def _text_runs(batches: Iterator[pd.DataFrame], frequent: np.ndarray) -> Iterato
 def frequent_grams(texts: DataFrame) -> np.ndarray:
     """k-grams that are the least of many windows, from counts that each task prunes."""
 
+    def often(grams):
+        found, n = np.unique(np.concatenate(grams), return_counts=True)
+        many = n >= _OFTEN_IN_TASK
+        return pd.DataFrame({"gram": found[many], "n": n[many]})
+
     def count(batches):
-        for _, _, _, _, gram, _, _ in _text_runs(batches, np.zeros(0, np.uint64)):
-            grams, n = np.unique(gram, return_counts=True)
-            often = n >= _OFTEN_IN_TASK
-            yield pd.DataFrame({"gram": grams[often], "n": n[often]})
+        held, n = [], 0
+        for batch in batches:
+            for _, _, data, ends in _joined(batch):
+                held.append(run_grams(data, ends))
+                n += len(held[-1])
+                if n >= _HELD_RUNS:
+                    yield often(held)
+                    held, n = [], 0
+        if held:
+            yield often(held)
 
     seen = texts.mapInPandas(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    often = seen.where(F.col("n") >= _OFTEN).orderBy(F.desc("n"), "gram").limit(MOST_FREQUENT)
-    return np.sort(often.toPandas()["gram"].to_numpy(np.int64).view(np.uint64))
+    top = seen.where(F.col("n") >= _OFTEN).orderBy(F.desc("n"), "gram").limit(MOST_FREQUENT)
+    return np.sort(top.toPandas()["gram"].to_numpy(np.int64).view(np.uint64))
 
 
 def _firsts(gram, body, count, doc, key, start):
