@@ -80,7 +80,9 @@ def contaminated(docs: DataFrame, items: DataFrame, key="doc_id", text="text", i
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, key="doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that hold an item."""
-    held, _ = written(contaminated(docs, items, key, **options).select(F.col(key).alias("_held")).distinct(), "contaminated")
-    return docs.join(held, docs[key].eqNullSafe(held["_held"]), "left_anti")
+def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
+    """``docs`` without the documents that hold an item. Each text is judged by itself, whatever its id."""
+    text = options.get("text", "text")
+    own = docs.withColumn("_own", F.xxhash64(F.lit("own"), text))
+    held, _ = written(contaminated(own, items, "_own", **options).select(F.col("_own").alias("_held")).distinct(), "contaminated")
+    return own.join(held, own["_own"] == held["_held"], "left_anti").drop("_own")

@@ -34,15 +34,21 @@ _AGREE = 3
 _WIDE_REFERENCES = 8
 
 
-def text_fingerprint(text: str | None, words_per_shingle=3) -> int:
+def shingles_of(text: str | None, words_per_shingle: int) -> tuple[int, Iterator[bytes]]:
+    """The number of shingles and the shingles in order; none for a text without words."""
     words = (text or "").encode("utf-8", "replace").translate(_LOWER).split()
     n = max(len(words) - words_per_shingle + 1, 1)
     if not words:
-        return 0
+        return 0, iter(())
     if n == 1:
-        shingles = iter([b" ".join(words)])
-    else:
-        shingles = map(b" ".join, zip(*(words[k:] for k in range(words_per_shingle))))
+        return 1, iter([b" ".join(words)])
+    return n, map(b" ".join, zip(*(words[k:] for k in range(words_per_shingle))))
+
+
+def text_fingerprint(text: str | None, words_per_shingle=3) -> int:
+    n, shingles = shingles_of(text, words_per_shingle)
+    if not n:
+        return 0
     ones = np.zeros(64, np.int64)
     for start in range(0, n, _AT_ONCE):
         size = min(_AT_ONCE, n - start)
@@ -125,6 +131,17 @@ def links(fingerprints: DataFrame, bits="bits", max_bits=3) -> DataFrame:
     return pairs.select(F.col("a.bits").alias("a"), F.col("b.bits").alias("b"))
 
 
+def text_key(text: str) -> Column:
+    """Equal for equal texts; null counts as empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+
+
+def _labelled(rows: DataFrame, max_bits: int) -> DataFrame:
+    """``(bits, label)`` for every fingerprint."""
+    labels = components(links(rows, max_bits=max_bits)).withColumnRenamed("node", "bits")
+    return rows.select("bits").distinct().join(labels, "bits", "left").withColumn("label", F.coalesce("label", "bits"))
+
+
 def near_duplicates(docs: DataFrame, key="doc_id", text="text", words_per_shingle=3, max_bits=3) -> DataFrame:
     """``key``, ``bits``, ``fingerprint`` and ``component_id`` for every row of ``docs``."""
     rows, _ = written(docs.select(F.col(key).alias("_key"), fingerprint(text, words_per_shingle).alias("bits")), "fingerprints")
@@ -136,14 +153,26 @@ def near_duplicates(docs: DataFrame, key="doc_id", text="text", words_per_shingl
     return rows.join(ids, "bits").select(F.col("_key").alias(key), "bits", as_hex("bits").alias("fingerprint"), "component_id")
 
 
-def one_per_group(docs: DataFrame, key="doc_id", text="text", **options) -> DataFrame:
+def keep_one(docs: DataFrame, labelled: DataFrame, key="doc_id", text="text") -> DataFrame:
+    """One row of ``docs`` for each label of ``labelled`` (``_key``, ``_text``, ``label``): smallest id, null last, then text.
+
+    A row is known by its id and its text together, as ids may be null or stand on several texts.
+    """
+    told, _ = written(labelled.groupBy("label", "_key", "_text").agg(F.count("*").alias("_copies")), "groups")
+    order = F.struct(F.col("_key").isNull().alias("no_key"), "_key", "_text", "_copies")
+    first = told.groupBy("label").agg(F.min(order).alias("_f")).select(F.col("_f._key").alias("_key"), F.col("_f._text").alias("_text"), F.col("_f._copies").alias("_copies"))
+    named = docs.withColumn("_own", text_key(text))
+    kept = named.join(first, named[key].eqNullSafe(first["_key"]) & (named["_own"] == first["_text"])).drop("_key", "_text")
+    # Rows with one id and one text are rare, and only they are gathered.
+    alone = kept.where("_copies = 1").drop("_copies", "_own")
+    return alone.unionByName(kept.where("_copies > 1").dropDuplicates([key, "_own"]).drop("_copies", "_own"))
+
+
+def one_per_group(docs: DataFrame, key="doc_id", text="text", words_per_shingle=3, max_bits=3) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
 
     Rows of a group without any id are one group's rows like others; one of them stays.
     """
-    told, _ = written(near_duplicates(docs, key, text, **options).groupBy(key, "component_id").agg(F.count("*").alias("_copies")), "groups")
-    first = told.where(F.col(key).eqNullSafe(F.col("component_id"))).select(F.col(key).alias("_key"), "_copies")
-    kept = docs.join(first, docs[key].eqNullSafe(first["_key"])).drop("_key")
-    # Rows with one id are rare, and only they are gathered by it.
-    alone = kept.where("_copies = 1").drop("_copies")
-    return alone.unionByName(kept.where("_copies > 1").drop("_copies").dropDuplicates([key]))
+    made = docs.select(F.col(key).alias("_key"), text_key(text).alias("_text"), fingerprint(text, words_per_shingle).alias("bits"))
+    rows, _ = written(made, "fingerprints")
+    return keep_one(docs, rows.join(_labelled(rows, max_bits), "bits").select("_key", "_text", "label"), key, text)

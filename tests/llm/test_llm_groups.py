@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.llm import bwt_merge, components, packing, repeat_runs, simhash_pivots, suffix_dedup
+from folioflow.llm import bwt_merge, components, decontaminate, packing, repeat_runs, simhash_pivots, suffix_dedup
 
 DOCS = "doc_id long, text string, bits string, start string"
 
@@ -71,6 +71,22 @@ def test_near_duplicates_edges(spark):
     assert simhash_pivots.near_duplicates(docs(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("module", [simhash_pivots])
+def test_rows_without_an_id_of_their_own_stay_unless_duplicates(spark, module):
+    a, b, c, d, e = (" ".join(f"{letter}{i}" for i in range(50)) for letter in "abcde")
+    rows = [(None, a), (None, a), (None, b), (None, c), (5, c), (7, d), (7, e), (7, e), (8, d)]
+    got = module.one_per_group(docs(spark, rows)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got) == [(0, a), (0, b), (5, c), (7, d), (7, e)]
+
+
+def test_decontamination_judges_each_text_by_itself(spark):
+    item = "the quick brown fox jumps over the lazy dog today"
+    rows = [(None, item), (None, "one two three four five six"), (7, f"so {item} yes"), (7, "seven eight nine ten eleven twelve"), (8, None)]
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = decontaminate.decontaminate(docs(spark, rows), items).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in got) == [(0, rows[1][1]), (7, rows[3][1]), (8, "")]
+
+
 # ---- repeats ------------------------------------------------------------------------------------
 
 
