@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioflow.llm import bwt_merge, components, decontaminate, packing, repeat_runs, simhash_pivots, suffix_dedup
+from folioflow.llm import bwt_merge, components, decontaminate, near_copies, packing, repeat_runs, simhash_pivots, suffix_dedup
 
 DOCS = "doc_id long, text string, bits string, start string"
 
@@ -71,7 +71,51 @@ def test_near_duplicates_edges(spark):
     assert simhash_pivots.near_duplicates(docs(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("module", [simhash_pivots])
+def five_word_sets(text):
+    words = (text or "").lower().split()
+    return {tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))} if words else set()
+
+
+def test_pipeline_stage_links_texts_of_similarity_0_8(spark):
+    import corpus_pipeline
+
+    pick = random.Random(12)
+    notice = [f"n{i}" for i in range(60)]
+    rows = [(1000, None), (1001, " "), (1002, "one two"), (1003, "One two"), (1004, "one")]
+    for i in range(20):
+        base = [f"w{pick.randrange(5000)}" for _ in range(200)]
+        for j in range(6):
+            words = list(base)
+            for _ in range(pick.choice([0, 1, 2, 3, 4, 5, 8])):
+                words[pick.randrange(len(words))] = f"x{pick.randrange(10**6)}"
+            rows.append((10 * i + j, " ".join(words)))
+        rows.append((10 * i + 9, " ".join(base[:40] + notice)))
+    pick.shuffle(rows)
+    sets = {i: five_word_sets(t) for i, t in rows}
+    ids = sorted(sets)
+
+    def alike(a, b):
+        return not sets[a] | sets[b] or len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+
+    pairs = [(a, b) for a in ids for b in ids if a < b and alike(a, b)]
+    want = set(reached(pairs, ids).values())
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    table = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], schema)
+    got = corpus_pipeline.near_duplicates(spark, table, "").collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(want) and len(pairs) > 60 and len(want) > 40
+    assert near_copies.one_per_group(docs(spark, [])).count() == 0
+
+
+def test_candidates_of_one_bucket_that_are_not_like_its_first_text(spark):
+    a, b, c = (" ".join(f"{letter}{i}" for i in range(50)) for letter in "abc")
+    rows = [(1, a), (2, b), (3, b + " more"), (4, c)]
+    table = docs(spark, rows)
+    placed = table.select(simhash_pivots.text_key("text").alias("_text"), F.lit(1).cast("long").alias("bucket"))
+    got = near_copies.labels(table, placed).join(table.select(simhash_pivots.text_key("text").alias("node"), "doc_id"), "node").collect()
+    assert {r["doc_id"] for r in got} == {2, 3} and len({bytes(r["label"]) for r in got}) == 1
+
+
+@pytest.mark.parametrize("module", [simhash_pivots, near_copies])
 def test_rows_without_an_id_of_their_own_stay_unless_duplicates(spark, module):
     a, b, c, d, e = (" ".join(f"{letter}{i}" for i in range(50)) for letter in "abcde")
     rows = [(None, a), (None, a), (None, b), (None, c), (5, c), (7, d), (7, e), (7, e), (8, d)]
