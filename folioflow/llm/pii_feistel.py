@@ -12,6 +12,8 @@ pseudonym is again a valid value, written the same way.
   telephone number keeps its country code, a mail address its domain.
 * Numbers: dates (days of 1900 to 2099), IPv4 addresses and social security numbers are numbered
   without gaps and permuted as two digits of a mixed radix, so every result is allowed.
+* Dates in figures are read day first, month first where only that is a date (not with dots), or year first.
+  An IBAN has the length of its country, whatever word or number follows.
 
 Edge cases: a null text stays null and an empty one empty; numbers that fail their check are no personal
 data and stay, as does every other character; repeated rows get equal results; other columns stay,
@@ -24,9 +26,30 @@ _BEFORE_MAIL = r"(?<![\p{L}\p{N}._%+-])"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 MAIL = _BEFORE_MAIL + r"[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
 HEX = r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![0-9A-Za-z])"
-IBAN = r"(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])"
+# Characters of a bank account number by country.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE BI", 18: "DK FO FI GL NL SD FK", 19: "MK SI", 20: "AT BA EE KZ LT LU XK MN",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL OM SO",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "AO CV GW LY MZ PT ST", 26: "IR IS TR DZ", 27: "BF BJ CF CG CM CI DJ FR GA GQ GR HN IT KM MC MG MR ML NE SM SN TD TG",
+    28: "AL AZ BY CY DO GT HU LB MA NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def _iban_pattern() -> str:
+    each = []
+    for length, lands in _IBAN_LENGTHS.items():
+        fours, rest = divmod(length - 4, 4)
+        tail = f" ?[A-Z0-9]{{{rest}}}" if rest else ""
+        each.append(f"(?:{lands.replace(' ', '|')})[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{fours}}}{tail}")
+    return f"(?<![0-9A-Za-z])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(each)})(?![0-9A-Za-z])"
+
+
+IBAN = _iban_pattern()
 IPV4 = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])"
-DATE = r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9/-])"
+DATE = (
+    r"(?<![0-9/.-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}"
+    r"|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}-[0-9]{1,2}-[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9/-])"
+)
 SSN = r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){2} [0-9]{1,7}|[0-9]{4}(?:-[0-9]{4}){2}-[0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 PHONE = (
@@ -39,6 +62,7 @@ ANY = "|".join((MAIL, HEX, IBAN, IPV4, DATE, SSN, CARD, PHONE))
 _ROUNDS = 10
 _ZERO = "0123456789abcdef"
 _FIRST_DAY, _DAY_RADIX = "1900-01-01", (17, 4297)
+_WALK = 99
 _SSN_RADIX = (898 * 99, 9999)
 
 
@@ -161,23 +185,41 @@ def _ipv4(m: Column, key: str) -> Column:
     return _let(permute_number(number, (1 << 16, 1 << 16), key, "ipv4"), written)
 
 
+def _late_day(number: Column, key: str) -> Column:
+    """A permutation of the days after the twelfth of their month: moved on until it meets one of them."""
+
+    def late(n):
+        return F.day(F.date_add(F.lit(_FIRST_DAY).cast("date"), n.cast("int"))) > 12
+
+    def step(acc, i):
+        return F.when((i > 0) & late(acc), acc).otherwise(permute_number(acc, _DAY_RADIX, key, "date"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(_WALK)), number, step, lambda n: F.when(late(n), n))
+
+
 def _date(m: Column, key: str) -> Column:
-    iso = m.contains("-")
-    mark = F.when(m.contains("/"), "/").otherwise(".")
+    mark = F.when(m.contains("/"), "/").when(m.contains("-"), "-").otherwise(".")
     part = F.split(F.translate(m, "/.", "--"), "-")
-    text = F.when(iso, m).otherwise(F.concat_ws("-", F.get(part, F.lit(2)), F.lpad(F.get(part, F.lit(1)), 2, "0"), F.lpad(F.get(part, F.lit(0)), 2, "0")))
+    one, two, three = (F.get(part, F.lit(i)) for i in range(3))
+    year_first = F.char_length(one) == 4
+    # Where the month comes first for certain; such dates stay among themselves, so no two values meet.
+    month_first = ~year_first & (mark != ".") & (two.cast("int") > 12)
+    year = F.when(year_first, one).otherwise(three)
+    month, day_of = F.when(month_first, one).otherwise(two), F.when(year_first, three).when(month_first, two).otherwise(one)
+    text = F.concat_ws("-", year, F.lpad(month, 2, "0"), F.lpad(day_of, 2, "0"))
     day = F.datediff(text.try_cast("date"), F.lit(_FIRST_DAY).cast("date"))
     allowed = day.between(0, _DAY_RADIX[0] * _DAY_RADIX[1] - 1)
 
     def written(d):
-        def field(value, place):
-            return F.when(F.char_length(F.get(part, F.lit(place))) == 1, value.cast("string")).otherwise(F.lpad(value.cast("string"), 2, "0"))
+        def field(value, shape):
+            return F.when(F.char_length(shape) == 1, value.cast("string")).otherwise(F.lpad(value.cast("string"), 2, "0"))
 
-        return F.when(iso, d.cast("string")).otherwise(
-            F.concat(field(F.day(d), 0), mark, field(F.month(d), 1), mark, F.year(d).cast("string"))
-        )
+        y, mo, da = F.year(d).cast("string"), field(F.month(d), month), field(F.day(d), day_of)
+        return F.when(year_first, F.concat(y, mark, mo, mark, da)).when(month_first, F.concat(mo, mark, da, mark, y)).otherwise(F.concat(da, mark, mo, mark, y))
 
-    moved = F.date_add(F.lit(_FIRST_DAY).cast("date"), permute_number(day.cast("long"), _DAY_RADIX, key, "date").cast("int"))
+    number = day.cast("long")
+    to = F.when(month_first, _late_day(number, key)).otherwise(permute_number(number, _DAY_RADIX, key, "date"))
+    moved = F.date_add(F.lit(_FIRST_DAY).cast("date"), to.cast("int"))
     return F.when(allowed, _let(moved, written))
 
 

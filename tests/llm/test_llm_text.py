@@ -163,6 +163,24 @@ def test_contaminated_against_plain(spark):
     assert decontaminate.contaminated(docs(spark, []), table).count() == 0
 
 
+def test_accounts_and_dates_beside_words_and_numbers(spark):
+    accounts = ["AT611904300234573201", "ES9121000418450200051332", "AT61 1904 3002 3457 3201", "SE4550000000058398257466", "BE68539007547034", "DE89370400440532013000", "NO9386011117947"]
+    dates = ["03/25/1985", "3/25/1985", "25/03/1985", "25-03-1985", "03-25-1985", "1985/03/25", "1985-03-25", "25.03.1985"]
+    texts = [f"to {v} {after}" for v in accounts + dates for after in ("BIC", "12 May", "A1", "7")]
+    rows = pii_feistel.pseudonymize(docs(spark, [*texts, "NR12 4111 1111 1111 1111"]), "k").orderBy("doc_id").collect()
+    for text, r in zip(texts, rows):
+        value = next(v for v in accounts + dates if text.startswith(f"to {v} "))
+        assert r["pii_kinds"] == ["iban" if value in accounts else "date"], text
+        assert value not in r["text"] and r["text"].endswith(text[len(f"to {value}") :]), text
+    assert rows[-1]["pii_kinds"] == ["card"]
+
+
+def test_month_first_dates_stay_apart(spark):
+    days = [f"{m:02}/{d:02}/{y}" for y in (1985, 1986) for m in range(1, 13) for d in range(1, 29)]
+    out = [r["text"] for r in pii_feistel.pseudonymize(docs(spark, days), "k").collect()]
+    assert len(set(out)) == len(days)
+
+
 # ---- html ---------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body><header class="top"><h1>Site</h1></header>
