@@ -47,6 +47,15 @@ _ASIDE_NAMES = re.compile(
     re.I,
 )
 _MAIN_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|entry|main|maincontent|post|story|text)(?=$|[\s_-])", re.I)
+# Tokens that say how a page is laid out, or name the head of an article: they make no side part.
+_NO_ASIDE = re.compile(r"(?:^|(?<=\s))(?:(?:has|with|no|without)[-_]\S+|(?:entry|post|article|story)[-_]header)(?=$|\s)", re.I)
+# An article element is a side part only by a token that starts so; other names on it are topics.
+_SIDE_ARTICLE = re.compile(r"(?:^|\s)(?:div-)?(?:ads?|advert\w*|comments?|promo\w*|recommended|related|reply|replies|sponsor\w*|teaser\w*|widget\w*)(?=$|[\s_-])", re.I)
+# Side parts that hold articles of their own.
+_SIDE_LISTS = re.compile(
+    r"(?:^|[\s_-])(?:comments?|commentlist|discussion|disqus|footer|promo\w*|reactions?|recommended|related|replies|responses?|sidebar(?![_-](?:left|right))|sponsor\w*|teaser|trending|widget\w*)(?=$|[\s_-])",
+    re.I,
+)
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=[\s=]|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*(?:\"[^\"]*|'[^']*)display\s*:\s*none)", re.I)
@@ -65,16 +74,16 @@ class Block:
 
 
 def _kind(tag: str, attributes: str, in_main: bool) -> str:
-    """``main``, ``aside`` or nothing for an element that opens."""
+    """``main``, ``aside`` or nothing for an element that opens; ``named+aside`` or ``listed+aside`` if only a name says so."""
     names = " ".join(a or b or c for a, b, c in _NAMES.findall(attributes)) if attributes else ""
     if attributes and _HIDDEN.search(attributes):
         return "aside"
-    if tag in _MAIN_TAGS and not _ASIDE_NAMES.search(names):
+    if tag == "main" or (tag == "article" and not _SIDE_ARTICLE.search(names)):
         return "main"
     if tag in _ASIDE_TAGS and not (tag == "header" and in_main):
         return "aside"
-    if names and tag not in ("body", "html") and _ASIDE_NAMES.search(names):
-        return "aside"
+    if names and tag not in ("body", "html") and _ASIDE_NAMES.search(_NO_ASIDE.sub("", names)):
+        return "listed+aside" if _SIDE_LISTS.search(names) else "named+aside"
     return "main" if names and tag in ("div", "section", "td") and _MAIN_NAMES.search(names) else ""
 
 
@@ -140,11 +149,13 @@ def page_blocks(page: str | None) -> list[Block]:
                     open_tags.pop()
                 above = kind()
                 own = _kind(tag, attributes, above == "main")
-                # What stands inside a side part of an article stays a side part, whatever its name.
+                # What stands inside a side part stays a side part, whatever its name; but an article or
+                # main element ends one that comes from a name alone.
                 if above.endswith("aside"):
-                    own = above
-                elif own == "aside" and above == "main":
-                    own = "main+aside"
+                    ends = own == "main" and ("named" in above and tag in _MAIN_TAGS or "listed" in above and tag == "main")
+                    own = own if ends else above
+                elif own.endswith("aside") and above == "main":
+                    own = f"main+{own}"
                 open_tags.append((tag, own or above))
             heading = bool(open_tags) and open_tags[-1][0] in ("h1", "h2", "h3", "h4", "h5", "h6")
     flush()
@@ -214,6 +225,8 @@ def labelled_pages(n_pages=240, seed=7) -> list[str]:
             said = "".join(f"<div><p>{words('b', 2, 220)}</p></div>" for _ in range(pick.randint(1, 5)))
             body.append(f'<section class="comments"><h2>{words("b", 1, 4)}</h2>{said}</section>')
         body.append(part(style, "footer", "footer", f"{words('b', 3, 14)}"))
+        if named and i % 3 == 0:
+            body = [f'<div class="{("page has-sidebar", "with-sidebar", "sidebar-right")[i // 3 % 3]}">', *body, "</div>"]
         pages.append("<html><head><title>t</title></head><body>" + "".join(body) + "</body></html>")
     return pages
 

@@ -191,6 +191,26 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><b
 <aside><h3>Related</h3><p>Other text about other things that goes on for quite a while.</p></aside><footer>&copy; Site</footer>"""
 
 
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<div class='content has-sidebar'><main><article>", "</article></main></div>"),
+        ("<div class='page with-sidebar'><article>", "</article></div>"),
+        ("<div class='sidebar-right'><article>", "</article></div>"),
+        ("<div class='sidebar'><main>", "</main></div>"),
+        ("<article class='post tags-news'>", "</article>"),
+        ("<article class='post social-science'>", "</article>"),
+    ],
+)
+def test_names_of_wrappers_do_not_hide_the_article(before, after):
+    tree = html_blocks.grow(*html_blocks.labelled_blocks())
+    head, text = "A title of the story", " ".join(f"w{i}" for i in range(60))
+    for top in (f"<div class='entry-header'><h1>{head}</h1></div>", f"<h1 class='post-header'>{head}</h1>"):
+        said = f"<div class='comments'><article class='comment'><p>{text} said</p></article></div>"
+        got = html_blocks.main_text(f"<body>{before}{top}<p>{text}</p>{said}{after}</body>", tree)[0]
+        assert got == f"{head}\n{text}"
+
+
 def test_html_main_text(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, "x"), (2, "v", None, "x"), (3, "w", "", "x"), (4, "z", "<p>a &am b &lt;", "x")], "page_id long, url string, html string, text string")
     out = {r["page_id"]: r for r in html_blocks.extract_pages(pages).collect()}
