@@ -12,6 +12,7 @@ piece of exactly ``capacity`` fills a sequence by itself.
 
 import math
 import os
+import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,8 +21,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-_CACHED_WORDS = 500_000
-_PIECE = "doc_id long, start long, length long, ids binary, doc_tokens long"
+_CACHED_WORDS = 600_000
+_PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
 def _byte_signs() -> list[str]:
@@ -37,7 +38,7 @@ class WordTokenizer:
     White space always ends a token, so a text's ids are those of its words in a row. A comma or
     full stop after letters is a token of its own, and case is folded, so such words share entries.
     A new word of Latin letters goes to the vocabulary's merges directly, any other through the
-    whole tokenizer.
+    whole tokenizer. A full cache becomes the older one, from which words still in use come back.
     """
 
     def __init__(self, path: str | None):
@@ -52,6 +53,7 @@ class WordTokenizer:
         self.model = self.tokenizer.model
         self.signs = _byte_signs()
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _whole(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
@@ -63,13 +65,17 @@ class WordTokenizer:
         return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def _learn(self, missing: set[bytes]) -> None:
-        known = self.known
+        known, older = self.known, self.older
         for raw in missing:
+            ids = older.get(raw)
+            if ids is not None:
+                known[raw] = ids
+                continue
             word = raw.decode("utf-8", "replace")
             mark = word[-1] if word[-1] in ".," and len(word) > 1 else ""
             letters = word[:-1] if mark else word
             small = letters.lower()
-            if not letters.isalpha() or max(letters) >= "\u0250" or len(small) != len(letters):
+            if not letters.isalpha() or not (letters.isascii() or max(letters) < "\u0250" and len(small) == len(letters)):
                 known[raw] = self._whole(word)
                 continue
             key = small.encode()
@@ -87,11 +93,10 @@ class WordTokenizer:
         """Little-endian 32-bit ids of each text."""
         for start in range(0, len(texts), 64):
             words = [(t or "").encode("utf-8", "replace").split() for t in texts[start : start + 64]]
+            if len(self.known) > _CACHED_WORDS:
+                self.older, self.known = self.known, {}
             known = self.known
             missing = {w for line in words for w in line if w not in known}
-            if len(known) + len(missing) > _CACHED_WORDS:
-                known.clear()
-                missing = {w for line in words for w in line}
             if missing:
                 self._learn(missing)
             for line in words:
@@ -104,9 +109,10 @@ def shared_tokenizer(path: str | None) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def token_pieces(docs: DataFrame, key="doc_id", text="text", tokenizer_path=None, end_id=2, capacity=4096) -> DataFrame:
-    """One row per piece with its ids as little-endian 32-bit numbers."""
+def token_pieces(docs: DataFrame, key="doc_id", text="text", tokenizer_path=None, end_id=2, capacity=4096, keep_ids=True) -> DataFrame:
+    """One row per piece with the checksum of its ids and, with ``keep_ids``, the ids as little-endian 32-bit numbers."""
     end = int(end_id).to_bytes(4, "little")
+    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokenizer = shared_tokenizer(tokenizer_path)
@@ -117,11 +123,13 @@ def token_pieces(docs: DataFrame, key="doc_id", text="text", tokenizer_path=None
                 for doc, ids in zip(some["doc_id"], tokenizer.encode(list(some["text"]))):
                     ids += end
                     n = len(ids) // 4
-                    out += [(doc, s, min(capacity, n - s), ids[4 * s : 4 * (s + capacity)], n) for s in range(0, n, capacity)]
-                frame = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids", "doc_tokens"])
+                    for s in range(0, n, capacity):
+                        own = ids[4 * s : 4 * (s + capacity)]
+                        out.append((doc, s, len(own) // 4, zlib.crc32(own), n, own)[: len(names)])
+                frame = pd.DataFrame(out, columns=names)
                 yield frame.astype({"doc_id": "Int64"})
 
-    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, _PIECE)
+    return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInPandas(cut, _PIECE + ", ids binary" * keep_ids)
 
 
 def first_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int], list[int]]:
@@ -170,6 +178,6 @@ def groups_for(docs: DataFrame, docs_per_group=1024) -> int:
 
 def pack_documents(docs: DataFrame, key="doc_id", text="text", tokenizer_path=None, end_id=2, capacity=4096, docs_per_group=1024, keep_ids=True) -> DataFrame:
     """Pieces with their place, checksum of ids, and the ids themselves with ``keep_ids``."""
-    pieces = token_pieces(docs, key, text, tokenizer_path, end_id, capacity).withColumn("ids_crc32", F.crc32("ids"))
-    packed = pack(pieces if keep_ids else pieces.drop("ids"), groups_for(docs, docs_per_group), capacity)
+    pieces = token_pieces(docs, key, text, tokenizer_path, end_id, capacity, keep_ids)
+    packed = pack(pieces, groups_for(docs, docs_per_group), capacity)
     return packed.withColumnRenamed("doc_id", key)
