@@ -22,4 +22,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import best_fit_query, chat_query, decontaminate_query, html_query, language_query, line_rules_query, packing_query, periodic_runs_query, pii_query, simhash_query, suffix_query, toxicity_query  # noqa: E402,F401
+from . import best_fit_query, chat_query, collocations_query, decontaminate_query, html_query, language_query, line_rules_query, packing_query, periodic_runs_query, pii_query, simhash_query, suffix_query, toxicity_query  # noqa: E402,F401
