@@ -46,6 +46,7 @@ _FILTER_BITS = 24
 _SAMPLES_PER_RANGE = 20
 _PARTS_AT_ONCE = 100_000
 _MOST_RANGES = 1 << 14
+_TOP_SHARES = 16
 
 
 class _Numbers(dict):
@@ -364,7 +365,10 @@ def collocations(docs: DataFrame, text="text", lang="lang", least=30, longest=4,
     cover = longer.groupBy("lang", "phrase").agg(F.max(long).alias("covered"))
     left = lowest.join(cover, ["lang", "phrase"], "left").where(F.col("covered").isNull() | (100 * F.col("covered") < share * F.col("a").cast("decimal(38,0)")))
 
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = left.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    # Leaders of each share of the phrases first, so that the last sort of a language is small at any size.
+    order = [F.desc("score"), F.desc("a"), "phrase"]
+    shares = left.withColumn("rank", F.row_number().over(Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(_TOP_SHARES))).orderBy(*order)))
+    leaders = shares.where(F.col("rank") <= top).drop("rank")
+    ranked = leaders.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     total = words.groupBy("lang").agg(F.sum("n").alias("n"))
     return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", F.col("score").cast("long").alias("score"))
