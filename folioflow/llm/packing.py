@@ -12,9 +12,10 @@ piece of exactly ``capacity`` fills a sequence by itself.
 
 import math
 import os
+import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -25,20 +26,35 @@ _CACHED_WORDS = 600_000
 _PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def _byte_signs() -> list[str]:
+#: Signs at the end of a word, after a letter of ASCII or Latin-1: they are one token run of their own.
+_END_SIGNS = re.compile(rb"(?:(?<=[a-z])|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]))([!-&(-/:;=?@\[-`{-~]+)(?=\s|\Z)")
+
+
+def _byte_signs() -> dict[int, str]:
     """The sign that byte-level vocabularies use for each byte: itself if it can be printed, else the next from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     spare = iter(range(256, 512))
-    return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
+    return {b: chr(b) if b in plain else chr(next(spare)) for b in range(256)}
+
+
+class _Known(dict):
+    """Ids of words; missing ones come from the older cache or the tokenizer."""
+
+    def __init__(self, older: dict[bytes, bytes], learn: Callable[[bytes], bytes]):
+        self.older, self.learn = older, learn
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self[word] = self.older.get(word) or self.learn(word)
+        return ids
 
 
 class WordTokenizer:
-    """Ids of a tokenizer that drops white space, word by word with a cache of bounded size.
+    """Ids of a tokenizer that drops white space and case, word by word with a cache of bounded size.
 
-    White space always ends a token, so a text's ids are those of its words in a row. A comma or
-    full stop after letters is a token of its own, and case is folded, so such words share entries.
-    A new word of Latin letters goes to the vocabulary's merges directly, any other through the
-    whole tokenizer. A full cache becomes the older one, from which words still in use come back.
+    White space always ends a token, so a text's ids are those of its words in a row. Signs after a
+    word's last letter are a token run of their own, so they are cut off and words share entries. A new
+    word of Latin letters goes to the vocabulary's merges directly, any other through the whole
+    tokenizer. A full cache becomes the older one, from which words still in use come back.
     """
 
     def __init__(self, path: str | None):
@@ -50,57 +66,30 @@ class WordTokenizer:
 
             path = public_tokenizers.path("word_bpe_49k.json")
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
+        self.merges = self.tokenizer.model.tokenize
         self.signs = _byte_signs()
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-
-    def _whole(self, word: str) -> bytes:
+        self.known = _Known({}, self._learn)
+
+    def _learn(self, raw: bytes) -> bytes:
+        if raw.isalpha() and raw.islower():
+            return array("I", [t.id for t in self.merges(raw.decode())]).tobytes()
+        word = raw.decode("utf-8", "replace")
+        small = word.lower()
+        # Letters below U+0250 are one run for the tokenizer.
+        if word.isalpha() and max(word) < "\u0250" and len(small) == len(word):
+            return array("I", [t.id for t in self.merges(small.encode().decode("latin-1").translate(self.signs))]).tobytes()
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def _letters(self, word: str) -> bytes:
-        """Ids of small letters below U+0250, which are one run for the tokenizer."""
-        if not word.isascii():
-            word = "".join([self.signs[b] for b in word.encode()])
-        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
-
-    def _learn(self, missing: set[bytes]) -> None:
-        known, older = self.known, self.older
-        for raw in missing:
-            ids = older.get(raw)
-            if ids is not None:
-                known[raw] = ids
-                continue
-            word = raw.decode("utf-8", "replace")
-            mark = word[-1] if word[-1] in ".," and len(word) > 1 else ""
-            letters = word[:-1] if mark else word
-            small = letters.lower()
-            if not letters.isalpha() or not (letters.isascii() or max(letters) < "\u0250" and len(small) == len(letters)):
-                known[raw] = self._whole(word)
-                continue
-            key = small.encode()
-            ids = known.get(key)
-            if ids is None:
-                ids = known[key] = self._letters(small)
-            if mark:
-                end = known.get(mark.encode())
-                if end is None:
-                    end = known[mark.encode()] = self._whole(mark)
-                ids += end
-            known[raw] = ids
-
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian 32-bit ids of each text."""
-        for start in range(0, len(texts), 64):
-            words = [(t or "").encode("utf-8", "replace").split() for t in texts[start : start + 64]]
+        for text in texts:
+            data = (text or "").encode("utf-8", "replace")
+            if b"<|" not in data:  # names of special tokens are told apart by case
+                data = _END_SIGNS.sub(rb" \1", data.lower())
             if len(self.known) > _CACHED_WORDS:
-                self.older, self.known = self.known, {}
-            known = self.known
-            missing = {w for line in words for w in line if w not in known}
-            if missing:
-                self._learn(missing)
-            for line in words:
-                yield b"".join(map(known.__getitem__, line))
+                self.known.older = {}
+                self.known = _Known(self.known, self._learn)
+            yield b"".join(map(self.known.__getitem__, data.split()))
 
 
 @lru_cache(maxsize=1)
