@@ -17,7 +17,7 @@ tables give no pairs; only the named columns are read.
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .line_rules import window_hashes
-from .scratch import written
+from .scratch import free_name, written
 
 _WORDS_PER_SHINGLE = 5
 
@@ -83,6 +83,7 @@ def contaminated(docs: DataFrame, items: DataFrame, key="doc_id", text="text", i
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that hold an item. Each text is judged by itself, whatever its id."""
     text = options.get("text", "text")
-    own = docs.withColumn("_own", F.xxhash64(F.lit("own"), text))
-    held, _ = written(contaminated(own, items, "_own", **options).select(F.col("_own").alias("_held")).distinct(), "contaminated")
-    return own.join(held, own["_own"] == held["_held"], "left_anti").drop("_own")
+    own = free_name(docs, "own")
+    marked = docs.withColumn(own, F.xxhash64(F.lit("own"), text))
+    held, _ = written(contaminated(marked, items, own, **options).select(F.col(own).alias("_held")).distinct(), "contaminated")
+    return marked.join(held, marked[own] == held["_held"], "left_anti").drop(own)

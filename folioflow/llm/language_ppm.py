@@ -13,7 +13,6 @@ a text or an id are not learned from; without any training row everything is ``u
 each get the same answer. Other columns are kept and may have any name but ``lang_pred`` and ``score``.
 """
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -21,14 +20,17 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from .scratch import written
+from .scratch import free_name, written
 
 UND = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _SPACES = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 _CHUNK = 1 << 19
 
 
+def has_letter(text: str) -> bool:
+    return any(map(str.isalpha, text))
+
+
 def plain_bytes(text: str, order: int) -> bytes:
     """The coded bytes, after ``order`` spaces of context."""
     words = text.lower().encode("utf-8", "replace").translate(_SPACES).split()
@@ -180,7 +182,7 @@ def fit(docs: DataFrame, order=4, max_docs=300, key="doc_id", lang="lang", text=
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, value in zip(batch["lang"], batch["text"]):
-                if not _LETTER.search(value):
+                if not has_letter(value):
                     continue
                 data = np.frombuffer(plain_bytes(value, order), np.uint8)
                 for length in range(1, order + 2):
@@ -203,14 +205,15 @@ def identify(text: str | Column, model: PPM) -> Column:
         index, names = ppm.index(), np.array([*ppm.langs, UND], object)
         for batch in batches:
             pred, score = np.full(len(batch), len(ppm.langs)), np.zeros(len(batch))
-            good = [i for i, t in enumerate(batch) if ppm.langs and t is not None and _LETTER.search(t)]
+            good = [i for i, t in enumerate(batch) if ppm.langs and t is not None and has_letter(t)]
             if good:
                 bits = ppm.code_lengths([batch.iloc[i] for i in good], index)
                 pred[good] = bits.argmin(axis=1)
                 score[good] = 1.0 / np.exp2(np.maximum(bits.min(axis=1, keepdims=True) - bits, -1000.0)).sum(axis=1)
             yield pd.DataFrame({"lang_pred": names[pred], "score": score})
 
-    return predict(text)
+    # So marked, a filter on the answer does not get a second evaluation below it.
+    return predict.asNondeterministic()(text)
 
 
 def held_out(key="doc_id") -> Column:
@@ -219,5 +222,6 @@ def held_out(key="doc_id") -> Column:
 
 
 def identify_documents(docs: DataFrame, model: PPM, text="text") -> DataFrame:
-    named = docs.withColumn("_told", identify(text, model))
-    return named.select(*docs.columns, "_told.lang_pred", "_told.score")
+    told = free_name(docs, "told")
+    named = docs.withColumn(told, identify(text, model))
+    return named.select(*docs.columns, f"{told}.lang_pred", f"{told}.score")

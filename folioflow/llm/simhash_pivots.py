@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .components import components
-from .scratch import written
+from .scratch import free_name, written
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _AT_ONCE = 1 << 16
@@ -160,12 +160,15 @@ def keep_one(docs: DataFrame, labelled: DataFrame, key="doc_id", text="text") ->
     """
     told, _ = written(labelled.groupBy("label", "_key", "_text").agg(F.count("*").alias("_copies")), "groups")
     order = F.struct(F.col("_key").isNull().alias("no_key"), "_key", "_text", "_copies")
-    first = told.groupBy("label").agg(F.min(order).alias("_f")).select(F.col("_f._key").alias("_key"), F.col("_f._text").alias("_text"), F.col("_f._copies").alias("_copies"))
-    named = docs.withColumn("_own", text_key(text))
-    kept = named.join(first, named[key].eqNullSafe(first["_key"]) & (named["_own"] == first["_text"])).drop("_key", "_text")
+    own, kept_key, kept_text, copies = (free_name(docs, name) for name in ("own", "kept_key", "kept_text", "copies"))
+    first = told.groupBy("label").agg(F.min(order).alias("_f"))
+    first = first.select(F.col("_f._key").alias(kept_key), F.col("_f._text").alias(kept_text), F.col("_f._copies").alias(copies))
+    named = docs.withColumn(own, text_key(text))
+    kept = named.join(first, named[key].eqNullSafe(first[kept_key]) & (named[own] == first[kept_text]))
     # Rows with one id and one text are rare, and only they are gathered.
-    alone = kept.where("_copies = 1").drop("_copies", "_own")
-    return alone.unionByName(kept.where("_copies > 1").dropDuplicates([key, "_own"]).drop("_copies", "_own"))
+    alone = kept.where(F.col(copies) == 1)
+    several = kept.where(F.col(copies) > 1).dropDuplicates([key, own])
+    return alone.unionByName(several).select(*docs.columns)
 
 
 def one_per_group(docs: DataFrame, key="doc_id", text="text", words_per_shingle=3, max_bits=3) -> DataFrame:
