@@ -7,39 +7,47 @@ last return the columns of documents; the last returns packed pieces with their
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from folioflow.llm import decontaminate, language_ppm, near_copies, packing, pii_feistel
+from folioflow.llm import decontaminate, language_ppm, packing, pii_feistel, simhash_pivots
 from folioflow.llm.pii_query import KEY
-from folioflow.llm.scratch import written
+from folioflow.llm.scratch import discard, discard_since, free_name, made_so_far, written
 from folioflow.session import ship_package
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language, missing labels filled in; texts without letters, or null, go."""
+    """Documents with a language, missing labels filled in; texts without letters, or null, go.
+
+    Repeated rows get the same answer; without a labelled text every document goes.
+    """
     ship_package(spark)
     model = language_ppm.fit(docs.where(~language_ppm.held_out()))
-    told = docs.withColumn("_told", language_ppm.identify("text", model))
-    return told.where(F.col("_told.lang_pred") != language_ppm.UND).withColumn("lang", F.coalesce("lang", "_told.lang_pred")).drop("_told")
+    told = free_name(docs, "told")
+    named = docs.withColumn(told, language_ppm.identify("text", model))
+    known = named.where(F.col(told)["lang_pred"] != language_ppm.UND)
+    return known.withColumn("lang", F.coalesce("lang", F.col(told)["lang_pred"])).drop(told)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: five-word shingles, similarity 0.8 or more."""
+    """One document of each group whose SimHash fingerprints of three-word shingles link at three bits or fewer.
+
+    The smallest id stays, null last; equal rows count as copies; null and empty texts are one group.
+    """
     ship_package(spark)
-    return near_copies.one_per_group(docs)
+    return simhash_pivots.one_per_group(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null and empty texts hold none."""
     return decontaminate.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data under pseudonyms."""
+    """All documents, personal data under pseudonyms; null texts stay null, repeated rows stay."""
     made = pii_feistel.pseudonymize(docs, KEY)
     return made.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences with their place."""
+    """Pieces of token sequences with their place; a null or empty text is one piece with its end id."""
     ship_package(spark)
     return packing.pack_documents(docs)
 
@@ -52,12 +60,17 @@ STAGES = [
     ("packing", pack),
 ]
 
-# Language models, fingerprints and tokenizers are beyond SQL; tests hold run() to a plain version.
+# Language models, fingerprints and tokenizers are beyond SQL; tests hold the stages to plain versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs, _ = written(stage(spark, docs, sf_dir), name)
+        begun = made_so_far()
+        docs, path = written(stage(spark, docs, sf_dir), name)
+        discard_since(spark, begun, keep=path)
+        if before:
+            discard(spark, before)
+        before = path
     return docs
