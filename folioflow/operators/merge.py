@@ -7,7 +7,7 @@ then meet unique keys. Document bytes never travel through these operators.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import next_version
+from ..functions import next_version, parse_doc_date
 from ..schemas import CAPTURE_COLS, TRANSFORMED
 from .filters import with_hash
 
@@ -30,13 +30,14 @@ def dedupe_first(df: DataFrame, key="identifier", order=("scraped_at", "file_has
     return _pick(df, [key], list(order), F.min)
 
 
-def with_current(batch: DataFrame, existing: DataFrame, hash_col="file_hash", key="identifier") -> DataFrame:
-    """Left join to the stored hash and version only (``known``, ``old_hash``, ``old_version``)."""
+def with_current(batch: DataFrame, existing: DataFrame, hash_col="file_hash", key="identifier", more=()) -> DataFrame:
+    """Left join to the stored hash and version only (``known``, ``old_hash``, ``old_version``), and ``more`` as ``old_<name>``."""
     current = existing.select(
         key,
         F.lit(True).alias("known"),
         F.col(hash_col).alias("old_hash"),
         F.col("version").alias("old_version"),
+        *[F.col(c).alias(f"old_{c}") for c in more],
     )
     return batch.join(current, key, "left").withColumn("known", F.coalesce("known", F.lit(False)))
 
@@ -128,9 +129,10 @@ def landing_merge(existing: DataFrame, batch: DataFrame, run_ts: str, update_col
         "created_at": lambda old, w, a: F.when(a == "insert", F.lit(run_ts)).otherwise(old),
         "updated_at": lambda old, w, a: F.when(a == "update", F.lit(run_ts)).otherwise(old),
     }
-    return _merge(
+    merged = _merge(
         existing, batch, "identifier", update_cols or CAPTURE_COLS, _hash_action("file_hash"), computed, how
     )
+    return merged.withColumn("doc_date", parse_doc_date("date")) if "doc_date" in existing.columns else merged
 
 
 def landing_upsert(existing: DataFrame, batch: DataFrame, run_ts: str, update_cols=None) -> DataFrame:

@@ -1,16 +1,27 @@
 """Run statistics and data-quality reports. All are aggregates that combine on the map side."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions import content_hash, content_length
 
 
-def transform_stats(results: DataFrame, status="status") -> DataFrame:
-    """total / transformed / skipped / failed; an empty selection gives zeros."""
+def transform_counts(status="status") -> list[Column]:
+    """total / transformed / skipped / failed."""
     def n(value):
         return F.count_if(F.col(status) == value).alias(value)
 
-    return results.agg(F.count("*").alias("total"), n("transformed"), n("skipped"), n("failed"))
+    return [F.count(F.lit(1)).alias("total"), n("transformed"), n("skipped"), n("failed")]
+
+
+def transform_stats(results: DataFrame, status="status") -> DataFrame:
+    """total / transformed / skipped / failed; an empty selection gives zeros."""
+    return results.agg(*transform_counts(status))
+
+
+def observed(spark: SparkSession, seen: Observation, names: list[str]) -> DataFrame:
+    """One row of counts that were taken while a table was written; zeros if there was nothing to write."""
+    values = seen.get
+    return spark.range(1).select(*[F.lit(int(values.get(n) or 0)).cast("long").alias(n) for n in names])
 
 
 def crawl_summary(events: DataFrame, by=(), event="event", found="link", scraped="record", pages="page") -> DataFrame:
@@ -23,16 +34,21 @@ def crawl_summary(events: DataFrame, by=(), event="event", found="link", scraped
     )
 
 
-def upsert_counts(actions: DataFrame, action="action") -> DataFrame:
-    """upserted / modified / unchanged / total operations of one merge."""
+def upsert_columns(action="action") -> list[Column]:
+    """upserted / modified / unchanged / total operations."""
     inserted = F.count_if(F.col(action) == "insert")
     updated = F.count_if(F.col(action) == "update")
-    return actions.agg(
+    return [
         inserted.alias("upserted"),
         updated.alias("modified"),
         F.count_if(F.col(action) == "unchanged").alias("unchanged"),
         (inserted + updated).alias("total_ops"),
-    )
+    ]
+
+
+def upsert_counts(actions: DataFrame, action="action") -> DataFrame:
+    """upserted / modified / unchanged / total operations of one merge."""
+    return actions.agg(*upsert_columns(action))
 
 
 def run_status(stats: DataFrame, failed="failed") -> DataFrame:

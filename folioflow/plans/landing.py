@@ -14,7 +14,9 @@ from ..operators.links import attachments
 from ..operators.lookup import with_body_name
 from ..operators.merge import landing_merge
 from ..schemas import CAPTURE_COLS
-from ..sources.blobs import LAYOUT, blob_rows, read_blobs, write_blobs
+from ..session import scratch_path
+from ..sources.blobs import LAYOUT, blob_rows, read_blobs, write_blobs, write_new_blobs
+from ..sources.tables import merge_months
 from .stages import Stage, run_stages
 
 
@@ -63,6 +65,16 @@ def with_item_content(items: DataFrame, fetched: DataFrame) -> DataFrame:
     )
 
 
+def items_from_pages(listing: DataFrame, pages: DataFrame, files: DataFrame, bodies: DataFrame, run_ts: str, key="page_id") -> DataFrame:
+    """Captured items, ready to land, from listing rows, fetched pages and fetched files ``(url, content)``.
+
+    An item without an attachment has the bytes of its page. Markup and files take part in one join, by
+    their address; metadata is made from narrow facts of the pages.
+    """
+    fetched = pages.select("url", F.col("html").cast("binary").alias("content")).unionByName(files.select("url", F.col("content").cast("binary").alias("content")))
+    return with_item_content(build_items(listing, pages, bodies, run_ts, key), fetched)
+
+
 def _hashed(items: DataFrame) -> DataFrame:
     return items.withColumn("file_hash", content_hash("document_content"))
 
@@ -98,6 +110,27 @@ def store_items(items: DataFrame, store: str, run_ts: str, by=LAYOUT) -> DataFra
     return rejects
 
 
+def land(items: DataFrame, table: str, store: str, run_ts: str, by=LAYOUT) -> tuple[DataFrame, DataFrame]:
+    """Lands items in a table and a store that stay in place; (``identifier, action``, rejected items).
+
+    Hashes and metadata are written without the bytes first. Off these narrow rows, captures that the
+    store has already are found by path and hash, so that only new bytes are shuffled and stored,
+    and the table is merged in the months that the items touch. Neither step reads what
+    other runs stored. An item that comes back to earlier content finds it where it was.
+    """
+    spark = items.sparkSession
+    passed, rejects = run_stages(items, LANDING_STAGES)
+    named = passed.withColumns({"body": F.coalesce("body", F.lit("unknown")), "partition_date": F.coalesce("partition_date", F.lit("unknown"))})
+    folder = scratch_path(spark, "captured")
+    full = named.where(F.octet_length(F.col("document_content").cast("binary")) > 0)
+    full.drop("document_content").write.parquet(folder)
+    captured = spark.read.parquet(folder)
+    keys = captured.select(F.col("file_path").alias("object_path"), "file_hash")
+    keep = [c for c in passed.columns if c in CAPTURE_COLS and c not in ("body", "partition_date", "file_path")]
+    write_new_blobs(blob_rows(named, keep=["identifier", *keep]), keys, store, run_ts, by)
+    return merge_months(spark, table, captured, run_ts), rejects
+
+
 def landing_run(
     items: DataFrame, existing: DataFrame, store: str, run_ts: str, by=LAYOUT
 ) -> tuple[DataFrame, DataFrame]:

@@ -10,6 +10,8 @@ from ..schemas import TRANSFORMED
 from ..sources.blobs import attach_content, in_months_of
 
 _COLUMNS = [f.name for f in TRANSFORMED]
+#: Raise it when the rules of cleaning change, so that stored documents are cleaned again.
+CLEANER_VERSION = 1
 
 
 def _project(df: DataFrame, ext, new_hash: Column, version: Column, is_copy: Column, run_ts: str) -> dict:
@@ -30,6 +32,7 @@ def _project(df: DataFrame, ext, new_hash: Column, version: Column, is_copy: Col
         "transformed_at": F.lit(run_ts),
         "version": version.cast("int"),
         "is_copy": is_copy,
+        "cleaner_version": F.when(~is_copy, F.lit(CLEANER_VERSION)),
     }
 
 
@@ -50,6 +53,21 @@ def copied_rows(df: DataFrame, run_ts: str, content="content") -> DataFrame:
     )
 
 
+def select_documents(landing, existing, start, end) -> DataFrame:
+    """Narrow rows of the documents in a date range, with what is stored of each.
+
+    ``settled`` documents need no bytes: cleaned by the present rules already, from the same bytes.
+    Copies are always written anew.
+    """
+    selected = filter_by_date(landing, start, end).drop("version", "created_at", "updated_at", "doc_date")
+    if "cleaner_version" not in existing.columns:
+        return with_current(selected, existing, "new_hash").withColumn("settled", F.lit(False))
+    narrow = with_current(selected, existing, "new_hash", more=("original_hash", "cleaner_version"))
+    same = F.col("known") & (F.col("old_original_hash") == F.col("file_hash")) & (F.col("old_cleaner_version") == CLEANER_VERSION)
+    settled = F.coalesce(is_html() & same & F.col("old_hash").isNotNull(), F.lit(False))
+    return narrow.withColumn("settled", settled).drop("old_original_hash", "old_cleaner_version")
+
+
 def transform_results(landing, blobs, existing, start, end, run_ts: str) -> DataFrame:
     """One row per selected document: transformed columns, status and, if it is to be stored, its bytes.
 
@@ -57,9 +75,14 @@ def transform_results(landing, blobs, existing, start, end, run_ts: str) -> Data
     cross one shuffle. Cleaning runs in place on the rows that need it, so that html and other
     documents are read once and no union is needed.
     """
-    selected = filter_by_date(landing, start, end).drop("version", "created_at", "updated_at")
-    narrow = with_current(selected, existing, "new_hash")
-    full = attach_content(narrow, in_months_of(blobs, selected))
+    return results_of(select_documents(landing, existing, start, end), blobs, run_ts)
+
+
+def results_of(narrow: DataFrame, blobs: DataFrame, run_ts: str) -> DataFrame:
+    """Results for the rows of ``select_documents``. Write these first if the months they name should be found once."""
+    needed = narrow.where(~F.col("settled"))
+    wanted = narrow.withColumn("_wanted", F.when(~F.col("settled"), F.col("file_path")))
+    full = attach_content(wanted, in_months_of(blobs, needed), "_wanted")
     html = is_html()
     cleaned = with_cleaned(full, F.when(html & (F.octet_length("content") > 0), F.col("content")))
     output = F.when(html, F.col("cleaned").cast("binary")).otherwise(F.col("content"))

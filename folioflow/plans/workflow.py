@@ -3,13 +3,15 @@
 import logging
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from ..operators.stats import run_status, transform_stats, upsert_counts
+from ..operators.stats import observed, run_status, transform_counts, upsert_columns, upsert_counts
 from ..schemas import LANDING, TRANSFORMED
+from ..session import discard, scratch_path
 from ..sources.blobs import LAYOUT, read_blobs, write_partitioned
-from .landing import landing_run
-from .transform import apply_results, transform_results
+from ..sources.tables import read_landing
+from .landing import land, landing_run
+from .transform import apply_results, results_of, select_documents
 
 log = logging.getLogger(__name__)
 
@@ -29,6 +31,9 @@ class Paths(NamedTuple):
     #: Tables that every run adds to, left out if not named: items that did not land, statistics by phase.
     rejects: str | None = None
     stats: str | None = None
+    #: A landing table kept in place by month, instead of ``landing_in`` and ``landing_out``. The store then
+    #: has a directory per run, and bytes that it holds already are not stored again.
+    landing: str | None = None
 
 
 class RunFailed(RuntimeError):
@@ -52,26 +57,41 @@ def _kept(stats: DataFrame, paths: Paths, phase: str, run_ts: str) -> DataFrame:
 
 def run_landing(spark: SparkSession, items: DataFrame, paths: Paths, run_ts: str) -> DataFrame:
     """Runs the landing phase and returns its upsert counts."""
-    existing = _table(spark, paths.landing_in, LANDING)
-    merged, rejects = landing_run(items, existing, paths.store, run_ts, paths.layout)
-    merged.write.parquet(paths.landing_out)
+    if paths.landing:
+        actions, rejects = land(items, paths.landing, paths.store, run_ts, paths.layout)
+        counts = upsert_counts(actions)
+    else:
+        existing = _table(spark, paths.landing_in, LANDING)
+        merged, rejects = landing_run(items, existing, paths.store, run_ts, paths.layout)
+        seen = Observation()
+        merged.observe(seen, *upsert_columns()).write.parquet(paths.landing_out)
+        counts = observed(spark, seen, ["upserted", "modified", "unchanged", "total_ops"])
     if paths.rejects:
         rejects.withColumn("run_ts", F.lit(run_ts)).write.mode("append").parquet(paths.rejects)
-    return _kept(upsert_counts(spark.read.parquet(paths.landing_out)), paths, "landing", run_ts)
+    return _kept(counts, paths, "landing", run_ts)
 
 
 def run_transform(spark: SparkSession, paths: Paths, start, end, run_ts: str) -> DataFrame:
     """Runs the transform phase and returns its statistics.
 
-    Results are written once with their bytes; table and statistics read narrow columns back.
+    The selection is written first, without bytes, so that it is made once and names the months to read.
+    Results are written once with their bytes and counted as they are written; the table reads
+    narrow columns back.
     """
-    landing = spark.read.schema(LANDING).parquet(paths.landing_out)
+    landing = read_landing(spark, paths.landing or paths.landing_out)
     existing = _table(spark, paths.transformed_in, TRANSFORMED)
-    results = transform_results(landing, read_blobs(spark, paths.store), existing, start, end, run_ts)
-    write_partitioned(results.withColumn("body", F.coalesce("body", F.lit("unknown"))), paths.results, paths.layout)
+    chosen = select_documents(landing, existing, start, end)
+    folder = scratch_path(spark, "selected")
+    chosen.write.parquet(folder)
+    chosen = spark.read.schema(chosen.schema).parquet(folder)
+    results = results_of(chosen, read_blobs(spark, paths.store), run_ts)
+    seen = Observation()
+    named = results.withColumn("body", F.coalesce("body", F.lit("unknown")))
+    write_partitioned(named, paths.results, paths.layout, seen=seen, counts=transform_counts())
     written = spark.read.schema(results.schema).parquet(paths.results)
     apply_results(existing, written).write.parquet(paths.transformed_out)
-    return _kept(transform_stats(written), paths, "transform", run_ts)
+    discard(spark, folder)
+    return _kept(observed(spark, seen, ["total", "transformed", "skipped", "failed"]), paths, "transform", run_ts)
 
 
 def run_workflow(spark, items, paths: Paths, start, end, run_ts: str, skip_transform=False, raise_on_failure=True) -> DataFrame:

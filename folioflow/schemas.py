@@ -31,6 +31,8 @@ LANDING = T.StructType(
         T.StructField("version", T.IntegerType(), True),
         T.StructField("created_at", _S, True),
         T.StructField("updated_at", _S, True),
+        # The document date, parsed once; ``date`` keeps what was captured.
+        T.StructField("doc_date", T.TimestampNTZType(), True),
     ]
 )
 
@@ -50,6 +52,8 @@ TRANSFORMED = _struct(
     ("transformed_at", _S),
     ("version", T.IntegerType()),
     ("is_copy", T.BooleanType()),
+    # Of the rules that cleaned the document; null for copies.
+    ("cleaner_version", T.IntegerType()),
 )
 
 BLOBS = _struct(

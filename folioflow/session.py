@@ -43,6 +43,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _hadoop_path(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where, files = _hadoop_path(spark, path)
+    return files.exists(where)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes one folder and what is in it."""
+    where, files = _hadoop_path(spark, path)
+    files.delete(where, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors, unlike a cached plan."""
     spark = df.sparkSession

@@ -1,33 +1,39 @@
 """Document bytes as a table keyed by object path."""
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..functions import content_length, content_type
 from ..schemas import BLOBS
+from ..session import path_exists, scratch_path
 
 
 #: Default directory layout of stored documents.
 LAYOUT = ("body", "partition_date")
+#: Directory columns that stay text.
+_NAMES = (*LAYOUT, "run_ts")
+#: Folder of a store that lists its captures without their bytes; readers of the store pass over it.
+_INDEX = "_captures"
 
 
 def read_blobs(spark: SparkSession, path: str) -> DataFrame:
     """A stored table with its directory columns as text, whatever their values look like."""
     found = spark.read.parquet(path).schema
-    fields = [T.StructField(f.name, T.StringType()) if f.name in LAYOUT else f for f in found]
+    fields = [T.StructField(f.name, T.StringType()) if f.name in _NAMES else f for f in found]
     return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def in_months_of(blobs: DataFrame, meta: DataFrame) -> DataFrame:
     """Blobs in the month directories that ``meta`` names; the other directories are not read.
 
-    The months are read off the narrow rows first: one value per directory of the store, whose
-    listing the driver holds anyway, so that whole directories drop out when the scan is planned.
-    A null month in ``meta`` stands for ``unknown``, as in the layout.
+    A join on the directory column, so that Spark prunes directories while the job runs. There is one
+    month per directory of the store at most, which bounds what is broadcast. A null month in
+    ``meta`` stands for ``unknown``, as in the layout.
     """
     if "partition_date" not in blobs.columns:
         return blobs
-    months = meta.select(F.coalesce("partition_date", F.lit("unknown"))).distinct()
-    return blobs.where(F.col("partition_date").isin([r[0] for r in months.collect()]))
+    months = meta.select(F.coalesce("partition_date", F.lit("unknown")).alias("partition_date"))
+    # No directory has an empty name; Spark prunes by a side that has a condition.
+    return blobs.join(F.broadcast(months.where("partition_date > ''").distinct()), "partition_date", "left_semi")
 
 
 def read_binary_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
@@ -61,13 +67,17 @@ def blob_rows(df: DataFrame, path="file_path", content="document_content", ext="
     )
 
 
-def write_partitioned(df: DataFrame, path: str, by=LAYOUT, mode="append") -> None:
+def write_partitioned(df: DataFrame, path: str, by=LAYOUT, mode="append", seen: Observation | None = None, counts=()) -> None:
     """Write by body and month.
 
     The rebalance hint gives one shuffle in which small months share a task and a body
-    that holds a large share of all rows is split over many.
+    that holds a large share of all rows is split over many. ``counts`` are taken by ``seen`` in the
+    tasks that write, so that a repeated shuffle task does not count twice.
     """
-    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
+    rows = df.hint("rebalance", *by)
+    if seen is not None:
+        rows = rows.observe(seen, *counts)
+    rows.write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def write_blobs(df: DataFrame, path: str, by=LAYOUT, mode="append") -> None:
@@ -75,6 +85,35 @@ def write_blobs(df: DataFrame, path: str, by=LAYOUT, mode="append") -> None:
     write_partitioned(df.withColumn("capture_id", F.uuid()), path, by, mode)
 
 
+def stored_captures(spark: SparkSession, store: str) -> DataFrame:
+    """``(object_path, file_hash, run_ts)`` of what a store holds, read without the bytes."""
+    index = f"{store.rstrip('/')}/{_INDEX}"
+    if path_exists(spark, index):
+        return spark.read.schema("object_path string, file_hash string, run_ts string").parquet(index)
+    return spark.createDataFrame([], "object_path string, file_hash string, run_ts string")
+
+
+def write_new_blobs(rows: DataFrame, keys: DataFrame, store: str, run_ts: str, by=LAYOUT) -> DataFrame:
+    """Stores the captures that the store lacks, below a directory of their run; returns their keys.
+
+    ``rows`` are blob rows with ``file_hash``, ``keys`` their paths and hashes without the bytes. What is
+    new is settled among the keys; bytes stored already drop out before anything is shuffled
+    where the new keys are few, and take part in one join otherwise.
+    """
+    spark, index = rows.sparkSession, f"{store.rstrip('/')}/{_INDEX}"
+    known = stored_captures(spark, store).select("object_path", "file_hash")
+    fresh = keys.select("object_path", "file_hash").distinct().join(known, ["object_path", "file_hash"], "left_anti")
+    folder = f"{index}/run_ts={run_ts}"
+    pending = scratch_path(spark, "new-captures")
+    fresh.write.parquet(pending)
+    fresh = spark.read.schema("object_path string, file_hash string").parquet(pending)
+    new = rows.join(fresh, ["object_path", "file_hash"], "left_semi").withColumn("run_ts", F.lit(run_ts))
+    write_blobs(new, store, ("run_ts", *by))
+    # Listed once the bytes are there: a run that broke off before stores them again.
+    fresh.write.mode("append").parquet(folder)
+    return fresh
+
+
 def latest_captures(store: DataFrame, order=("scraped_at", "file_hash")) -> DataFrame:
     """(object_path, capture_id) of the last capture of each path, from narrow columns only."""
     last = store.groupBy("object_path").agg(F.max(F.struct(*order, "capture_id")).alias("_last"))

@@ -2,13 +2,16 @@ import datetime as dt
 import hashlib
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from folioflow import sources as src
-from folioflow.plans.landing import landing_run, with_item_content
-from folioflow.plans.transform import apply_results, transform_results
+from folioflow.operators import stats
+from folioflow.operators.filters import filter_by_date
+from folioflow.plans.landing import land, landing_run, with_item_content
+from folioflow.plans.transform import apply_results, results_of, select_documents, transform_results
 from folioflow.plans.workflow import Paths, RunFailed, run_landing, run_transform, run_workflow
 from folioflow.schemas import BLOBS, ITEM, LANDING, TRANSFORMED
+from folioflow.sources.tables import merge_months, read_landing, with_doc_date, write_landing
 from folioflow.streaming import upsert, versions
 
 NOW = "2026-01-01T00:00:00"
@@ -129,9 +132,8 @@ def test_failed_attachment_becomes_html_without_content(spark):
 def landing_rows(spark, rows):
     """(identifier, date, type, path) landing rows."""
     base = dict.fromkeys(LANDING.fieldNames())
-    return spark.createDataFrame(
-        [tuple({**base, "identifier": i, "date": d, "document_type": k, "file_path": p, "body": "court"}.values()) for i, d, k, p in rows], LANDING
-    )
+    rows = [tuple({**base, "identifier": i, "date": d, "document_type": k, "file_path": p, "body": "court"}.values()) for i, d, k, p in rows]
+    return with_doc_date(spark.createDataFrame(rows, LANDING))
 
 
 def blob_rows(spark, contents):
@@ -303,7 +305,7 @@ def test_transform_reads_only_the_months_it_selects(spark, tmp_path):
     existing = spark.createDataFrame([], TRANSFORMED)
     results = transform_results(landing, src.read_blobs(spark, store), existing, "2024-01-01", "2024-12-31", NOW)
     plan = results._jdf.queryExecution().executedPlan().toString()
-    assert "(partition_date" in plan.split("PartitionFilters: [", 1)[1] and "= 2024-03)" in plan
+    assert "SubqueryAdaptiveBroadcast dynamicpruning" in plan
     assert [(r["identifier"], r["status"]) for r in results.collect()] == [("a", "transformed")]
 
 
@@ -326,3 +328,141 @@ def test_directory_values_stay_text(spark, tmp_path):
     df = spark.createDataFrame([("007", "2024", "x")], "body string, partition_date string, identifier string")
     src.write_partitioned(df, str(tmp_path / "t"))
     assert src.read_blobs(spark, str(tmp_path / "t")).select(*df.columns).first() == ("007", "2024", "x")
+
+
+# ---- tables that stay in place ------------------------------------------------------------------
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def files_of(path):
+    return {str(p.relative_to(path)): p.stat().st_mtime_ns for p in path.rglob("*.parquet")}
+
+
+def monthly(spark, rows):
+    """(identifier, date, month, hash, time) captures."""
+    base = {f.name: None for f in LANDING if f.name not in ("version", "created_at", "updated_at", "doc_date")}
+    values = [tuple({**base, "identifier": i, "date": d, "partition_date": m, "file_hash": h, "scraped_at": t, "body": "court"}.values()) for i, d, m, h, t in rows]
+    return spark.createDataFrame(values, ", ".join(f"{c} string" for c in base))
+
+
+def test_merge_replaces_only_the_months_it_touches(spark, tmp_path):
+    path = tmp_path / "landing"
+    first = [("a", "2024-03-05", "2024-03", "1", "t1"), ("b", "05/01/2023", "2023-01", "1", "t1"), ("c", "n/a", None, "1", "t1"), ("d", "2024-03-06", "2024-03", "1", "t1"), ("m", "2022-07-01", "2022-07", "1", "t1")]
+    assert {tuple(r) for r in merge_months(spark, str(path), monthly(spark, first), "run-1").collect()} == {(i, "insert") for i, *_ in first}
+    before = files_of(path)
+    # A change, a row that moves to another month and empties its own, a new month, and rows that do not count.
+    second = [("a", "2024-03-05", "2024-03", "2", "t2"), ("a", "2024-03-05", "2024-03", "x", "t1"), ("m", "2024-03-09", "2024-03", "2", "t2"), ("e", "2021-02-01", "2021-02", "1", "t2"), (None, "2020-01-01", "2020-01", "1", "t2"), ("f", "2020-01-01", "2020-01", None, "t2")]
+    actions = merge_months(spark, str(path), monthly(spark, second), "run-2").collect()
+    assert {tuple(r) for r in actions} == {("a", "update"), ("m", "update"), ("d", "kept"), ("e", "insert")}
+    after = files_of(path)
+    assert {p.split("/")[0] for p in after} == {f"partition_date={m}" for m in ("2024-03", "2023-01", "unknown", "2021-02")}
+    assert all(after.get(p) == t for p, t in before.items() if "2023-01" in p or "unknown" in p)
+    table = read_landing(spark, str(path))
+    assert table.columns == LANDING.fieldNames() and table.schema["partition_date"].dataType.simpleString() == "string"
+    rows = {r["identifier"]: r for r in table.collect()}
+    assert {i: (r["file_hash"], r["version"], r["partition_date"]) for i, r in rows.items()} == {
+        "a": ("2", 2, "2024-03"), "b": ("1", 1, "2023-01"), "c": ("1", 1, "unknown"), "d": ("1", 1, "2024-03"), "e": ("1", 1, "2021-02"), "m": ("2", 2, "2024-03")}
+    assert str(rows["b"]["doc_date"]) == "2023-01-05 00:00:00" and rows["c"]["doc_date"] is None and str(rows["m"]["doc_date"]) == "2024-03-09 00:00:00"
+    assert (rows["a"]["created_at"], rows["a"]["updated_at"], rows["d"]["updated_at"]) == ("run-1", "run-2", None)
+    held = sorted(map(tuple, table.collect()), key=str)
+    # The same batch again changes nothing; an empty one touches no month.
+    assert {r["action"] for r in merge_months(spark, str(path), monthly(spark, second), "run-3").collect()} == {"unchanged", "kept"}
+    assert sorted(map(tuple, read_landing(spark, str(path)).collect()), key=str) == held
+    before = files_of(path)
+    assert merge_months(spark, str(path), monthly(spark, second).where("false"), "run-4").count() == 0 and files_of(path) == before
+
+
+def test_stored_dates_and_months_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    merge_months(spark, path, monthly(spark, [("a", "2024-03-05", "2024-03", "1", "t1"), ("b", "05/01/2023", "2023-01", "1", "t1")]), "run-1")
+    chosen = filter_by_date(read_landing(spark, path), "2024-01-01", "2024-12-31")
+    plan = plan_of(chosen)
+    pushed = plan.split("PushedFilters: [", 1)[1].split("]", 1)[0]
+    assert "GreaterThanOrEqual(doc_date" in pushed and "LessThan(doc_date" in pushed
+    assert [r["identifier"] for r in chosen.collect()] == ["a"]
+    month = src.find_by_partition(read_landing(spark, path), "2023-01")
+    assert "partition_date" in plan_of(month).split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    assert read_landing(spark, path, F.col("identifier") == "b").count() == 1
+    # Tables stored without the column get it while they are read.
+    old = str(tmp_path / "old")
+    monthly(spark, [("a", "2024-03-05", "2024-03", "1", "t1")]).write.partitionBy("partition_date").parquet(old)
+    assert str(read_landing(spark, old).first()["doc_date"]) == "2024-03-05 00:00:00"
+
+
+def rows_scanned(df):
+    """Rows that came out of the scans of a plan, once it ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.nodeName().startswith("AdaptiveSparkPlan") else plan
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_point_lookups_skip_row_groups(spark, tmp_path):
+    path = str(tmp_path / "landing")
+    named = {"identifier": F.sha2(F.col("id").cast("string"), 256), "date": F.lit("2024-03-05"), "partition_date": F.lit("2024-03"), "file_hash": F.sha2(F.concat(F.lit("h"), "id"), 256)}
+    rows = spark.range(60_000).select(*[named.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in LANDING])
+    write_landing(rows, path, row_group_bytes=1 << 18)
+    wanted = sha("17")
+    one = src.find_by_identifier(read_landing(spark, path), wanted)
+    assert one.count() == 1
+    assert 0 < rows_scanned(one) <= 20_000
+
+
+def test_landing_again_stores_no_byte(spark, tmp_path):
+    table, store = str(tmp_path / "landing"), tmp_path / "store"
+    first = items(spark, [("a", "one", "t1"), ("a", "two", "t2"), ("b/1", "x", "t1"), ("none", None, "t1"), (None, "y", "t1")])
+    actions, rejects = land(first, table, str(store), "run-1")
+    assert {tuple(r) for r in actions.collect()} == {("a", "insert"), ("b/1", "insert")}
+    assert sorted((r["identifier"] or "", r["stage"]) for r in rejects.collect()) == [("", "store"), ("none", "hash")]
+    stored = files_of(store)
+    again, _ = land(first, table, str(store), "run-2")
+    assert {r["action"] for r in again.collect()} == {"unchanged"}
+    assert {p for p in files_of(store) if not p.startswith("_")} == {p for p in stored if not p.startswith("_")}
+    later, _ = land(items(spark, [("a", "three", "t3"), ("a", "one", "t4")]), table, str(store), "run-3")
+    assert {tuple(r) for r in later.collect()} == {("a", "update"), ("b/1", "kept")}
+    captures = src.stored_captures(spark, str(store)).collect()
+    assert sorted((r["object_path"], r["run_ts"]) for r in captures) == [(f"Labour_Court/2024-03/{n}.html", r) for n, r in (("a", "run-1"), ("a", "run-1"), ("a", "run-3"), ("b1", "run-1"))]
+    # The row names content that the first run stored; its bytes are found there.
+    found = src.attach_content(read_landing(spark, table), src.read_blobs(spark, str(store))).collect()
+    assert {r["identifier"]: bytes(r["content"]) for r in found} == {"a": b"one", "b/1": b"x"}
+
+
+def test_workflow_in_place_reads_only_what_changed(spark, tmp_path):
+    def at(name):
+        return str(tmp_path / name)
+
+    def paths(n):
+        return Paths(at("store"), None, at("unused"), at(f"r{n}"), at(f"t{n - 1}") if n > 1 else None, at(f"t{n}"), stats=at("stats"), landing=at("landing"))
+
+    captured = items(spark, [("a", page("one"), "t1"), ("b", page("two"), "t1")])
+    run_workflow(spark, captured, paths(1), "2024-01-01", "2024-12-31", "run-1")
+    changed = items(spark, [("a", page("new"), "t2"), ("b", page("two"), "t2")])
+    run_workflow(spark, changed, paths(2), "2024-01-01", "2024-12-31", "run-2")
+    got = {r["identifier"]: (r["version"], r["new_hash"], r["transformed_at"]) for r in spark.read.parquet(at("t2")).collect()}
+    assert got == {"a": (2, sha("<body><p>new</p></body>"), "run-2"), "b": (1, sha("<body><p>two</p></body>"), "run-1")}
+    told = {r["run_ts"]: (r["total"], r["transformed"], r["skipped"], r["failed"]) for r in spark.read.parquet(at("stats/transform")).collect()}
+    assert told == {"run-1": (2, 2, 0, 0), "run-2": (2, 1, 1, 0)}
+    counts = {r["run_ts"]: (r["upserted"], r["modified"], r["unchanged"]) for r in spark.read.parquet(at("stats/landing")).collect()}
+    assert counts == {"run-1": (2, 0, 0), "run-2": (0, 1, 1)}
+    # Documents cleaned by other rules, or by none that are known, are read again.
+    landing, existing = read_landing(spark, at("landing")), spark.read.parquet(at("t2"))
+    settled = select_documents(landing, existing, "2024-01-01", "2024-12-31")
+    assert [r["settled"] for r in settled.collect()] == [True, True]
+    older = select_documents(landing, existing.withColumn("cleaner_version", F.lit(0)), "2024-01-01", "2024-12-31")
+    assert not any(r["settled"] for r in older.collect())
+    results = results_of(older, src.read_blobs(spark, at("store")), "run-3").collect()
+    assert {(r["identifier"], r["status"]) for r in results} == {("a", "skipped"), ("b", "skipped")}
+    assert not any(r["settled"] for r in select_documents(landing, existing.drop("cleaner_version"), "2024-01-01", "2024-12-31").collect())
+
+
+def test_failures_are_counted_while_results_are_written(spark, tmp_path):
+    rows = spark.createDataFrame([("a", "s", "2024-01"), ("b", "s", "2024-01"), ("c", "s", "2024-02")], "status string, body string, partition_date string")
+    status = F.when(F.col("status") == "a", "failed").when(F.col("status") == "b", "skipped").otherwise("transformed")
+    for n, df in enumerate((rows, rows.where("false"))):
+        seen = Observation()
+        src.write_partitioned(df.withColumn("status", status), str(tmp_path / str(n)), seen=seen, counts=stats.transform_counts())
+        assert tuple(stats.observed(spark, seen, ["total", "transformed", "skipped", "failed"]).first()) == ((3, 1, 1, 1) if n == 0 else (0, 0, 0, 0))
