@@ -1,11 +1,11 @@
 """Version history over a stream of observations."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+import math
 
-# A hot key is cut into _GROUPS * _GROUPS segments.
-_GROUPS = 32
-# The rows of a hot key meet its bounds in this many places.
-_SALTS = 32
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+# Bounds of time are looked up in groups of this many.
+_GROUP = 32
 
 
 def version_history(
@@ -14,28 +14,47 @@ def version_history(
     ts="seen_at",
     tie="event_id",
     hash_col="file_hash",
-    hot_rows: int = 1_000_000,
+    segment_rows: int = 1_000_000,
 ) -> DataFrame:
     """Adds ``version``: it rises whenever the hash differs from the previous observation.
 
-    Keys with more than ``hot_rows`` observations are counted first. Without any, one window
-    does it. Otherwise hot keys are cut into time segments at quantiles of their own ``ts``, so
-    that no task sorts a whole hot key: changes are counted inside each segment, and one summary
-    row per segment carries the count on to the next. Rows of one key at one instant stay
-    together, ordered by ``tie``.
+    A prefix scan in two steps. Time is cut at quantiles of all observations, so that a segment of time
+    has about ``segment_rows`` of them, and no key, however frequent, has more in one segment than
+    the segment holds. Changes are counted within each key and segment, dealt by both; one summary
+    row for each then carries the count on to the next segment of its key. Rows of one instant stay
+    together, ordered by ``tie``; null times come first.
     """
-    hot = obs.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).select(key)
-    if hot.isEmpty():
-        changed = _with_changes(obs, [key], ts, tie, hash_col)
-        return changed.select(*obs.columns, (F.col("_inside") + 1).cast("int").alias("version"))
-    local = _with_changes(_with_segments(obs, hot, key, ts), [key, "_segment"], ts, tie, hash_col)
-    offsets = _segment_offsets(local.where(F.col("_segment") >= 0), key, ts, tie, hash_col)
-    version = F.lit(1) + F.col("_inside") + F.coalesce("_before", F.lit(0))
-    return (
-        local.join(offsets, [key, "_segment"], "left")
-        .withColumn("version", version.cast("int"))
-        .select(*obs.columns, "version")
-    )
+    bounds = time_bounds(obs, ts, segment_rows)
+    local = _with_changes(obs.withColumn("_segment", _segment(ts, dict(obs.dtypes)[ts], bounds)), [key, "_segment"], ts, tie, hash_col)
+    if not bounds:  # one segment has nothing to carry on
+        return local.select(*obs.columns, (F.col("_inside") + 1).cast("int").alias("version"))
+    offsets = _segment_offsets(local, key, ts, tie, hash_col).withColumnRenamed(key, "_of")
+    met = local[key].eqNullSafe(offsets["_of"]) & (local["_segment"] == offsets["_segment"])
+    version = F.lit(1) + F.col("_inside") + F.col("_before")
+    return local.join(offsets, met).withColumn("version", version.cast("int")).select(*obs.columns, "version")
+
+
+def time_bounds(obs: DataFrame, ts: str, segment_rows: int, most: int = 1024) -> list[str]:
+    """The quantiles of time at which segments end, as text; fewer than ``most`` of them come to the driver."""
+    quantiles = F.approx_percentile(ts, [i / most for i in range(1, most)], 10 * most)
+    found = obs.agg(F.count(ts).alias("n"), F.transform(quantiles, lambda b: b.cast("string")).alias("bounds")).first()
+    wanted = min(math.ceil(found["n"] / max(segment_rows, 1)), most)
+    # Quantiles rise; frequent times come several times.
+    return list(dict.fromkeys(found["bounds"][round(i * most / wanted) - 1] for i in range(1, wanted)))
+
+
+def _segment(ts: str, kind: str, bounds: list[str]) -> Column:
+    """A number that rises with the bounds below ``ts``: groups of bounds wholly below, then bounds within the next."""
+    if not bounds:
+        return F.lit(0)
+    groups = [[F.lit(b).cast(kind) for b in bounds[i : i + _GROUP]] for i in range(0, len(bounds), _GROUP)]
+
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b < F.col(ts)))
+
+    group = below(F.array(*[g[-1] for g in groups]))
+    inside = below(F.get(F.array(*[F.array(*g) for g in groups]), group))
+    return (group * _GROUP + F.greatest(F.coalesce(inside, F.lit(0)), F.lit(0))).cast("int")
 
 
 def _with_changes(obs: DataFrame, groups, ts, tie, hash_col) -> DataFrame:
@@ -46,36 +65,8 @@ def _with_changes(obs: DataFrame, groups, ts, tie, hash_col) -> DataFrame:
     return obs.withColumn("_changed", changed.cast("long")).withColumn("_inside", F.sum("_changed").over(so_far))
 
 
-def _with_segments(obs: DataFrame, hot: DataFrame, key, ts) -> DataFrame:
-    """Adds ``_segment``: -1 for ordinary keys, else the number of the key's bounds below ``ts``."""
-    n = _GROUPS * _GROUPS
-    bounds = (
-        obs.select(key, ts)
-        .join(hot, key, "left_semi")
-        .groupBy(key)
-        .agg(F.approx_percentile(ts, [i / n for i in range(1, n)], 10 * n).alias("_bounds"))
-    )
-
-    def below(array):
-        return F.size(F.filter(array, lambda b: b < F.col(ts)))
-
-    # Find the group by its last bound, then the place within the group.
-    lasts = F.transform(F.sequence(F.lit(1), F.lit(_GROUPS - 1)), lambda g: F.element_at("_bounds", g * _GROUPS))
-    inside = below(F.slice("_bounds", F.col("_group") * _GROUPS + 1, _GROUPS - 1))
-    bounds = bounds.withColumn("_lasts", lasts)
-    # Each hot key's bounds (some 8 kB) stand once per salt, so that its rows do not meet in one task.
-    bounds = bounds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))))
-    salted = obs.withColumn("_salt", F.pmod(F.xxhash64(*obs.columns), F.lit(_SALTS)).cast("int"))
-    return (
-        salted.join(bounds, [key, "_salt"], "left")
-        .withColumn("_group", F.when(F.col("_bounds").isNotNull(), below("_lasts")))
-        .withColumn("_segment", F.coalesce(F.col("_group") * _GROUPS + inside, F.lit(-1)))
-        .drop("_bounds", "_lasts", "_group", "_salt")
-    )
-
-
 def _segment_offsets(local: DataFrame, key, ts, tie, hash_col) -> DataFrame:
-    """Changes before each segment of a hot key, including the one on its own boundary."""
+    """Changes before each segment of a key, including the one on its own boundary."""
     at = F.struct(ts, tie)
     ends = local.groupBy(key, "_segment").agg(
         F.min_by(F.struct(hash_col), at).alias("_first"),
@@ -95,11 +86,11 @@ def _segment_offsets(local: DataFrame, key, ts, tie, hash_col) -> DataFrame:
     )
 
 
-def history_summary(obs: DataFrame, key="identifier", ts="seen_at", tie="event_id", hash_col="file_hash", hot_rows=1_000_000) -> DataFrame:
+def history_summary(obs: DataFrame, key="identifier", ts="seen_at", tie="event_id", hash_col="file_hash", segment_rows=1_000_000) -> DataFrame:
     """One row per key: first and last hash and the number of changes between them."""
     at = F.struct(ts, tie)
     return (
-        version_history(obs, key, ts, tie, hash_col, hot_rows)
+        version_history(obs, key, ts, tie, hash_col, segment_rows)
         .groupBy(key)
         .agg(
             F.min_by(hash_col, at).alias("first_hash"),

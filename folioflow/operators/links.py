@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..constants import ATTACHMENT_TYPES
 from ..functions import strip, url_join
-from ..session import cut_lineage
+from ..session import discard, stored
 from .nodes import dom_nodes, enclosed_until, matches
 
 _ROW, _TITLE, _MAIN = "li.each-item", "h2.title", "#main"
@@ -117,27 +117,38 @@ def paginate(seeds: DataFrame, links: DataFrame, max_depth: int | None = None) -
     """Pages reached from the seeds over any links: ``(page, depth)`` with the least number of links.
 
     ``seeds`` has a ``page`` column, ``links`` has ``src`` and ``dst``; pages may have any number of links,
-    and links may form cycles. Pages with a single link form chains, and these are followed in jumps
-    that double each round, so a chain of n pages takes about log2(n) rounds; where pages branch,
-    each round goes one link further. The search ends with a round that changes no depth.
+    and links may form cycles. A round starts from the frontier alone, the pages whose depth fell in the
+    round before, and adds what lies behind them unless it was reached at least as soon; the search
+    ends with an empty frontier. Pages with a single link form chains, and these are followed in jumps
+    that double each round: the frontier of a chain is the second half of what is reached, from which jumps of all
+    lengths reach as much again, so a chain of n pages takes about log2(n) rounds.
     """
-    edges = links.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct()
-    single = edges.groupBy("src").agg(F.count("*").alias("n"), F.min("dst").alias("dst")).where("n = 1").select("src", "dst")
-    steps = cut_lineage(edges.select("src", "dst", F.lit(1).cast("long").alias("length")))
-    chain, length = cut_lineage(single), 1
-    reached = cut_lineage(seeds.select("page").distinct().select("page", F.lit(0).cast("long").alias("depth")))
-    mark = None
-    while True:
-        ahead = reached.join(steps, F.col("page") == F.col("src")).select(
-            F.col("dst").alias("page"), (F.col("depth") + F.col("length")).alias("depth")
-        )
+    spark, made = seeds.sparkSession, []
+
+    def kept(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+        table, path, n = stored(df, name)
+        made.append(path)
+        return table, n
+
+    steps, _ = kept(links.select("src", "dst").where("src IS NOT NULL AND dst IS NOT NULL").distinct().withColumn("length", F.lit(1).cast("long")), "steps")
+    single = steps.groupBy("src").agg(F.count("*").alias("n"), F.min("dst").alias("dst")).where("n = 1").select("src", "dst")
+    (chain, links_left), length = kept(single, "chain"), 1
+    frontier, fell = kept(seeds.select("page").distinct().select("page", F.lit(0).cast("long").alias("depth")), "frontier")
+    reached = frontier
+    while fell:
+        ahead = frontier.join(steps, F.col("page") == F.col("src")).select(F.col("dst").alias("page"), (F.col("depth") + F.col("length")).alias("depth"))
         if max_depth is not None:
             ahead = ahead.where(F.col("depth") <= max_depth)
-        reached = cut_lineage(reached.unionByName(ahead).groupBy("page").agg(F.min("depth").alias("depth")))
-        now = tuple(reached.agg(F.count("*"), F.sum("depth")).first())
-        if now == mark:
-            return reached
-        mark, length = now, 2 * length
-        onward = chain.select(F.col("src").alias("_mid"), F.col("dst").alias("_end"))
-        chain = cut_lineage(chain.join(onward, F.col("dst") == F.col("_mid")).select("src", F.col("_end").alias("dst")))
-        steps = steps.unionByName(chain.select("src", "dst", F.lit(length).cast("long").alias("length")))
+        nearest = ahead.groupBy("page").agg(F.min("depth").alias("depth")).alias("n")
+        sooner = (F.col("n.page") == F.col("r.page")) & (F.col("r.depth") <= F.col("n.depth"))
+        frontier, fell = kept(nearest.join(reached.alias("r"), sooner, "left_anti"), "frontier")
+        reached = reached.unionByName(frontier)
+        if fell and links_left:
+            length *= 2
+            onward = chain.select(F.col("src").alias("_mid"), F.col("dst").alias("_end"))
+            chain, links_left = kept(chain.join(onward, F.col("dst") == F.col("_mid")).select("src", F.col("_end").alias("dst")), "chain")
+            steps = steps.unionByName(chain.select("src", "dst", F.lit(length).cast("long").alias("length")))
+    found, _, _ = stored(reached.groupBy("page").agg(F.min("depth").alias("depth")), "reached")
+    for path in made:
+        discard(spark, path)
+    return found

@@ -5,7 +5,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -59,6 +59,13 @@ def discard(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def stored(df: DataFrame, name: str) -> tuple[DataFrame, str, int]:
+    """The rows as a table in the shared folder, made once, its path, and how many they are."""
+    spark, path, seen = df.sparkSession, scratch_path(df.sparkSession, name), Observation()
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path, seen.get.get("n") or 0
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives the loss of executors, unlike a cached plan."""
     spark = df.sparkSession

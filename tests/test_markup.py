@@ -218,6 +218,22 @@ def test_paginate_follows_every_link(spark):
     assert {r["page"]: r["depth"] for r in got} == {"p": 0, "a": 1, "b": 1, "g": 1, "c": 2, "d": 3, "e": 4, "f": 5} and len(got) == 8
 
 
+def test_paginate_against_breadth_first_search(spark):
+    import random
+
+    pick = random.Random(2)
+    for n, m in ((40, 60), (60, 50), (30, 200)):
+        edges = [(str(pick.randrange(n)), str(pick.randrange(n))) for _ in range(m)] + [(f"l{i}", f"l{i + 1}") for i in range(40)] + [(str(pick.randrange(n)), f"l{pick.randrange(40)}") for _ in range(3)]
+        seeds = [str(pick.randrange(n)) for _ in range(3)]
+        want, now, depth = dict.fromkeys(seeds, 0), set(seeds), 0
+        while now:
+            depth += 1
+            now = {b for a, b in edges if a in now and b not in want}
+            want |= dict.fromkeys(now, depth)
+        got = links.paginate(spark.createDataFrame([(s,) for s in seeds], "page string"), spark.createDataFrame(edges, "src string, dst string")).collect()
+        assert {r["page"]: r["depth"] for r in got} == want and len(got) == len(want)
+
+
 def test_captures_that_share_a_key_stay_apart(spark):
     texts = ["<body><p>one</p></body>", "<body><div>two</div></body>", "<body><div>two</div></body>"]
     pages = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (None, texts[2]), (None, texts[0])], "page_id long, html string")

@@ -137,11 +137,11 @@ def test_version_history_golden(spark):
 
 
 @settings(max_examples=8, deadline=None)
-@given(st.lists(st.tuples(st.sampled_from("xyz"), st.integers(0, 40), st.sampled_from("ab")), min_size=1, max_size=60), st.sampled_from([0, 5, 1000]))
-def test_version_history_for_any_split(spark, rows, hot_rows):
+@given(st.lists(st.tuples(st.sampled_from("xyz"), st.integers(0, 40), st.sampled_from("ab")), min_size=1, max_size=60), st.sampled_from([1, 5, 1000]))
+def test_version_history_for_any_split(spark, rows, segment_rows):
     rows = [(i, t, n, h) for n, (i, t, h) in enumerate(rows)]
     df = spark.createDataFrame(rows, "identifier string, seen_at long, event_id long, file_hash string")
-    got = {(r["identifier"], r["event_id"]): r["version"] for r in history.version_history(df, hot_rows=hot_rows).collect()}
+    got = {(r["identifier"], r["event_id"]): r["version"] for r in history.version_history(df, segment_rows=segment_rows).collect()}
     want = {}
     for key in "xyz":
         own = sorted((t, n, h) for i, t, n, h in rows if i == key)
@@ -192,3 +192,16 @@ def test_repeated_keys_in_a_batch_count_once(spark):
     assert merge.changed_only(batch, old).count() == 2 and merge.change_status(batch, old).count() == 2
     updated = merge.update_existing(old, batch, ["file_hash"]).collect()
     assert [(r["identifier"], r["file_hash"], r["changed"]) for r in updated] == [("x", "c", True)]
+
+
+def test_a_key_with_all_rows_is_dealt_over_segments(spark):
+    rows = spark.range(4000).select(F.lit("hot").alias("identifier"), F.when(F.col("id") > 9, F.col("id")).alias("seen_at"), F.col("id").alias("event_id"), F.when(F.col("id") % 7 < 5, (F.col("id") % 3).cast("string")).alias("file_hash"))
+    got = history.version_history(rows, segment_rows=100)
+    hashes = [str(i % 3) if i % 7 < 5 else "none" for i in range(4000)]
+    assert sorted((r["event_id"], r["version"]) for r in got.collect()) == list(enumerate(versions(hashes)))
+    bounds = history.time_bounds(rows, "seen_at", 100)
+    assert len(bounds) == 39
+    sizes = rows.groupBy(history._segment("seen_at", "bigint", bounds)).count().collect()
+    assert len(sizes) == 40 and max(r["count"] for r in sizes) < 130
+    null_key = history.version_history(rows.withColumn("identifier", F.lit(None).cast("string")), segment_rows=100)
+    assert null_key.agg(F.max("version")).first() == got.agg(F.max("version")).first() and null_key.count() == 4000

@@ -68,6 +68,22 @@ def test_event_log_round_trip(spark, tmp_path):
     assert src.read_event_log(spark, str(tmp_path / "log"), "event string, n int").first() == ("e", 1)
 
 
+def test_event_log_by_day_with_broken_lines(spark, tmp_path):
+    log, schema = str(tmp_path / "log"), "timestamp string, event string, n int"
+    rows = [("2024-03-01T10:00:00", "a", 1), ("2024-03-01T11:00:00", None, None), ("2024-03-02T10:00:00", "b", 2), ("not a day", "c", 3), (None, "d", 4)]
+    src.write_event_log(spark.createDataFrame(rows, schema), log)
+    broken = ['{"timestamp":"2024-03-02T1', '{"timestamp":"x","event":"e","n":"many"}', "", "  ", "[1]"]
+    spark.createDataFrame([(line, "2024-03-02") for line in broken], "value string, day string").write.mode("append").partitionBy("day").text(log)
+    assert {p.name for p in (tmp_path / "log").glob("day=*")} == {"day=2024-03-01", "day=2024-03-02", "day=unknown"}
+    events = src.read_event_log(spark, log, schema)
+    assert events.columns == ["timestamp", "event", "n"] and sorted(map(tuple, events.collect()), key=str) == sorted(rows, key=str)
+    assert events.count() == 5
+    assert sorted(tuple(r) for r in src.broken_lines(spark, log, schema).collect()) == sorted(("2024-03-02", line) for line in broken if line.strip())
+    one = src.read_event_log(spark, log, schema, days=("2024-03-01", "2024-03-01"))
+    assert "day" in plan_of(one).split("PartitionFilters: [", 1)[1].split("]", 1)[0] and one.count() == 2
+    assert src.broken_lines(spark, log, schema, days=("2024-03-01", "2024-03-01")).count() == 0
+
+
 def test_binary_files(spark, tmp_path):
     (tmp_path / "b" / "2024-01").mkdir(parents=True)
     (tmp_path / "b" / "2024-01" / "x.pdf").write_bytes(b"%PDF")

@@ -5,7 +5,7 @@ from pyspark.sql import Observation, functions as F
 from folioflow import sources as src
 from folioflow.operators import stats
 from folioflow.operators.filters import filter_by_date
-from folioflow.operators.links import listing_rows
+from folioflow.operators.links import listing_rows, paginate
 from folioflow.plans import landing as landing_plan
 from folioflow.plans import transform
 from folioflow.plans.workflow import Paths, run_workflow
@@ -15,7 +15,7 @@ from .pages import _DAY
 from .registry import query
 from .runs import _VIEWS, END, MONTHLY, START, _items
 from .versioning import tnew, tprev, upserted_sql
-from .views import META_SQL, OLD_TS, RUN_TS, SITE, blobs, case_pages, cases, cleaned_html, ctes, html_content, landing, landing_meta, landing_prev, listing_pages
+from .views import META_SQL, OLD_TS, RUN_TS, SITE, blobs, case_pages, cases, cleaned_html, ctes, html_content, landing, landing_meta, landing_prev, listing_pages, table
 
 FIRST, LAST = "2021-01", "2021-06"
 
@@ -139,3 +139,40 @@ def transform_failures(spark, sf):
     seen = Observation()
     src.write_partitioned(results, scratch_path(spark, "results"), MONTHLY, seen=seen, counts=stats.transform_counts())
     return stats.observed(spark, seen, ["total", "transformed", "skipped", "failed"])
+
+
+@query(
+    "event_log_roundtrip",
+    """SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS event, count(*) AS n, count(*) FILTER (event_id % 10 = 3) AS n_broken, sum(CASE WHEN event_id % 10 <> 3 THEN user_id ELSE 0 END)::BIGINT AS users
+       FROM events GROUP BY 1, 2""",
+)
+def event_log_roundtrip(spark, sf):
+    """Events written by day, some lines cut short, then read as typed events and as broken lines."""
+    path, schema = scratch_path(spark, "event-log"), "timestamp string, event string, event_id long, user_id long"
+    events = table(spark, sf, "events").select(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"), F.col("event_type").alias("event"), "event_id", "user_id")
+    src.write_event_log(events.where("event_id % 10 <> 3"), path)
+    cut = src.to_event_json(events.where("event_id % 10 = 3"), keep=[F.substring("timestamp", 1, 10).alias("day")])
+    cut.withColumn("value", F.expr("left(value, length(value) - 1)")).write.mode("append").partitionBy("day").text(path)
+    good = src.read_event_log(spark, path, schema).groupBy(F.substring("timestamp", 1, 10).alias("day"), "event").agg(F.count("*").alias("n_good"), F.sum("user_id").alias("users"))
+    named = F.regexp_extract("value", '"event":"([^"]*)"', 1).alias("event")
+    bad = src.broken_lines(spark, path, schema).groupBy("day", named).agg(F.count("*").alias("n_broken"))
+    both = good.join(bad, ["day", "event"], "full").na.fill(0, ["n_good", "n_broken", "users"])
+    return both.select("day", "event", (F.col("n_good") + F.col("n_broken")).alias("n"), "n_broken", "users")
+
+
+@query(
+    "paginate_edges",
+    """WITH RECURSIVE e AS (SELECT DISTINCT least(o_orderkey, 30000) % 997 AS a, o_custkey % 997 AS b FROM orders WHERE o_orderkey % 5 = 0
+         UNION SELECT x, x + 1 FROM (SELECT unnest(range(2000, 2300)) AS x) UNION SELECT 17, 2000),
+       walk AS (SELECT CAST(1 AS BIGINT) AS page, CAST(0 AS BIGINT) AS depth UNION SELECT 2100, 0
+         UNION SELECT e.b, depth + 1 FROM walk JOIN e ON a = page WHERE depth < 330)
+       SELECT page, min(depth) AS depth FROM walk GROUP BY page""",
+)
+def paginate_edges(spark, sf):
+    """Pages that branch and form cycles, with a long chain behind them."""
+    orders = table(spark, sf, "orders").where("o_orderkey % 5 = 0")
+    edges = orders.select((F.least("o_orderkey", F.lit(30000)) % 997).alias("src"), (F.col("o_custkey") % 997).alias("dst"))
+    chain = spark.range(2000, 2300).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    more = spark.createDataFrame([(17, 2000)], "src long, dst long")
+    seeds = spark.createDataFrame([(1,), (2100,)], "page long")
+    return paginate(seeds, edges.unionByName(chain).unionByName(more))
