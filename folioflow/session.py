@@ -59,6 +59,27 @@ def discard(spark: SparkSession, path: str) -> None:
     files.delete(where, True)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    where, files = _hadoop_path(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(where)) if files.exists(where) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: written beside and renamed."""
+    where, files = _hadoop_path(spark, path)
+    beside = spark._jvm.org.apache.hadoop.fs.Path(where.getParent(), f"_{where.getName()}")
+    out = files.create(beside)
+    out.write(bytearray(text.encode()))
+    out.close()
+    files.rename(beside, where)
+
+
 def stored(df: DataFrame, name: str) -> tuple[DataFrame, str, int]:
     """The rows as a table in the shared folder, made once, its path, and how many they are."""
     spark, path, seen = df.sparkSession, scratch_path(df.sparkSession, name), Observation()

@@ -4,7 +4,7 @@ import hashlib
 import pytest
 from pyspark.sql import Observation, functions as F
 
-from folioflow import sources as src
+from folioflow import session, sources as src
 from folioflow.operators import stats
 from folioflow.operators.filters import filter_by_date
 from folioflow.plans.landing import land, landing_run, with_item_content
@@ -278,6 +278,42 @@ def test_stream_upsert_with_another_checkpoint_keeps_what_is_stored(spark, tmp_p
     assert now(str(tmp_path / "compacted")) == {**want, "b": ("3", 3)}
 
 
+def test_a_stream_reads_one_base_and_few_changes(spark, tmp_path):
+    source, table, checkpoint = (str(tmp_path / n) for n in ("source", "table", "checkpoint"))
+    n, want = 50, {}
+    for i in range(n):
+        wave = [("hot", str(i // 2), f"t{i:02d}"), (f"x{i}", "1", "t")]
+        captures(spark, wave).coalesce(1).write.mode("append").parquet(source)
+        want |= {"hot": (str(i // 2), i // 2 + 1), f"x{i}": ("1", 1)}
+    most, seen = 4, []
+    fold = upsert._fold
+
+    def counted(session, path, log):
+        seen.append(len(log.changes))
+        fold(session, path, log)
+
+    upsert._fold = counted
+    try:
+        for i, path in enumerate(sorted((tmp_path / "source").glob("*.parquet"), key=lambda p: spark.read.parquet(str(p)).agg(F.max("scraped_at")).first()[0])):
+            rows = spark.read.parquet(str(path))
+            upsert.upsert_batch(rows, i, table, NOW, "s", most)
+            if i == 21:  # a batch whose changes were folded already comes again
+                upsert.upsert_batch(rows, i - 2, table, NOW, "s", most)
+    finally:
+        upsert._fold = fold
+    assert {r["identifier"]: (r["file_hash"], r["version"]) for r in upsert.current_table(spark, table).collect()} == want
+    assert seen and set(seen) == {most}
+    log = upsert._state(spark, table)
+    assert len(log.changes) < most and log.base is not None and len(list((tmp_path / "table").glob("base-*"))) <= 2
+    assert len(list((tmp_path / "table").glob("stream=*/batch_id=*"))) <= 3 * most
+    files = upsert.stored_before(rows, n, table, "s").inputFiles()
+    folders = {f.split("/table/", 1)[1].rsplit("/", 1)[0] for f in files if "/table/" in f}
+    assert len([f for f in folders if f.startswith("base-")]) == 1 and len(folders) <= 1 + most
+    base = spark.read.parquet(f"{table}/{log.base}")
+    assert [r["identifier"] for r in base.collect()] == sorted(r["identifier"] for r in base.collect())
+    assert not any(name.startswith("_") for name in session.list_folder(spark, f"{table}/bases"))
+
+
 def test_stream_versions(spark, tmp_path):
     root, schema = str(tmp_path), "identifier string, seen_at timestamp_ntz, event_id long, file_hash string"
     at = dt.datetime(2024, 1, 1)
