@@ -2,8 +2,9 @@
 
 Line rule: lines are normalised (lower case, digits as 0, one space for white space) and hashed; a
 line counts once per distinct text of a host, so that exact copies do not rule each other out. Lines
-in more than ``max(min_docs, max_share * distinct texts of the host)`` are removed, and a document is
-depleted when less than ``min_left_share`` of its words, or no word, is left.
+in more than ``max_docs`` texts are removed, whatever the size of the host, and on smaller hosts those in
+more than ``max(min_docs, max_share * distinct texts of the host)``. A document is depleted when less
+than ``min_left_share`` of its words, or no word, is left.
 
 Edge cases: a null text has no words; a null host is a host of its own; documents with equal host
 and text get equal results, repeated rows stay; empty tables give no rows; only the named columns
@@ -12,6 +13,8 @@ are read.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .scratch import free_name
+
 SPACE = "[\\x20\\x09-\\x0D]+"
 NOT_SPACE = "[^\\x20\\x09-\\x0D]"
 SYMBOLS = "[#*$%&|<>]"
@@ -89,8 +92,8 @@ def normal_lines(text: Column) -> Column:
     return F.split(F.regexp_replace(plain, "[0-9]", "0"), "\n")
 
 
-def removed_words(docs: DataFrame, host="source", text="text", min_docs=20, max_share=0.05) -> DataFrame:
-    """Words in over-frequent lines per distinct (host, text) that has such lines."""
+def removed_words(docs: DataFrame, host="source", text="text", min_docs=20, max_share=0.05, max_docs=500, with_lines=False) -> DataFrame:
+    """Words in over-frequent lines per distinct (host, text) that has such lines; ``with_lines``, the hashes of these lines too."""
     keys = [c.alias(k) for k, c in _text_keys(F.col(host), F.col(text)).items()]
     told = docs.where(F.col(text).isNotNull())
     each = told.select(*keys, F.explode(normal_lines(F.col(text))).alias("_line"))
@@ -105,28 +108,50 @@ def removed_words(docs: DataFrame, host="source", text="text", min_docs=20, max_
     frequent = (
         counted.alias("c")
         .join(hosts.alias("h"), F.col("c._host").eqNullSafe(F.col("h._host")))
-        .where(F.col("_found") > max_share * F.col("_docs"))
+        .where((F.col("_found") > max_docs) | (F.col("_found") > max_share * F.col("_docs")))
         .select("c._host", "c._hash")
     )
     hit = per_text.alias("p").join(
         frequent.alias("f"), F.col("p._host").eqNullSafe(F.col("f._host")) & (F.col("p._hash") == F.col("f._hash"))
     )
     lost = hit.groupBy("p._host", *["p." + k for k in _KEYS]).agg(
-        F.sum(F.col("_times") * F.col("_n")).alias("_all"), F.count("*").alias("n_frequent_lines")
+        F.sum(F.col("_times") * F.col("_n")).alias("_all"),
+        F.count("*").alias("n_frequent_lines"),
+        *[F.collect_set("p._hash").alias("_removed")] * with_lines,
     )
     # _times counts the lines of every copy of a text; the division brings that back to one.
     same = F.col("l._host").eqNullSafe(F.col("c._host"))
     for k in _KEYS:
         same = same & (F.col("l." + k) == F.col("c." + k))
     return lost.alias("l").join(copies.alias("c"), same).select(
-        "l._host", *["l." + k for k in _KEYS], (F.col("_all") / F.col("_copies")).cast("long").alias("n_removed_words"), "n_frequent_lines"
+        "l._host", *["l." + k for k in _KEYS], (F.col("_all") / F.col("_copies")).cast("long").alias("n_removed_words"), "n_frequent_lines", *["_removed"] * with_lines
     )
 
 
-def quality_rules(docs: DataFrame, host="source", text="text", min_docs=20, max_share=0.05, min_left_share=0.3) -> DataFrame:
+def without_lines(text: Column, hashes: Column) -> Column:
+    """The text without the lines whose normal form has one of the hashes; null hashes remove nothing."""
+    lines = F.arrays_zip(F.split(text, "\n").alias("line"), normal_lines(text).alias("normal"))
+    kept = F.filter(lines, lambda x: (F.trim(x["normal"]) == "") | ~F.array_contains(hashes, F.xxhash64(F.trim(x["normal"]))))
+    return F.when(hashes.isNull(), text).otherwise(F.array_join(F.transform(kept, lambda x: x["line"]), "\n"))
+
+
+def remove_frequent_lines(docs: DataFrame, host="source", text="text", cleaned="cleaned_text", **limits) -> DataFrame:
+    """``docs`` with ``cleaned``: each text without its over-frequent lines. Null texts stay null."""
+    named = {k: free_name(docs, k.strip("_")) for k in ("_host", *_KEYS, "_removed")}
+    keys = _text_keys(F.col(host), F.coalesce(F.col(text), F.lit("")))
+    marked = docs.withColumns({named[k]: c for k, c in keys.items()})
+    lost = removed_words(docs.select(host, text), host, text, with_lines=True, **limits)
+    same = marked[named["_host"]].eqNullSafe(lost["_host"])
+    for k in _KEYS:
+        same = same & (marked[named[k]] == lost[k])
+    joined = marked.join(lost, same, "left")
+    return joined.select(*[marked[c] for c in docs.columns], without_lines(marked[text], lost["_removed"]).alias(cleaned))
+
+
+def quality_rules(docs: DataFrame, host="source", text="text", min_docs=20, max_share=0.05, max_docs=500, min_left_share=0.3) -> DataFrame:
     """Every row of ``docs`` with its statistics, ``n_removed_words``, ``depleted`` and ``kept``."""
     stats = word_stats(docs, text).withColumns(_text_keys(F.col(host), F.coalesce(F.col(text), F.lit("")))).drop(text)
-    lost = removed_words(docs, host, text, min_docs, max_share)
+    lost = removed_words(docs, host, text, min_docs, max_share, max_docs)
     same = F.col("s._host").eqNullSafe(F.col("l._host"))
     for k in _KEYS:
         same = same & (F.col("s." + k) == F.col("l." + k))

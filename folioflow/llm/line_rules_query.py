@@ -15,7 +15,7 @@ norm AS (SELECT r, regexp_replace(trim(regexp_replace(lower(line), '[\x20\x09-\x
 told AS (SELECT n.r, d.source, md5(d.text) AS t, n.line, len(string_split(n.line, ' ')) AS k FROM norm n JOIN d USING (r) WHERE n.line <> '' AND d.text IS NOT NULL),
 hosts AS (SELECT source, count(DISTINCT md5(text)) AS docs FROM d WHERE text IS NOT NULL GROUP BY source),
 freq AS (SELECT a.source, a.line FROM (SELECT source, line, count(DISTINCT t) AS n FROM told GROUP BY source, line) a
-    JOIN hosts h ON a.source IS NOT DISTINCT FROM h.source WHERE n > 20 AND n > 0.05 * docs),
+    JOIN hosts h ON a.source IS NOT DISTINCT FROM h.source WHERE n > 20 AND (n > 0.05 * docs OR n > 500)),
 lost AS (SELECT told.r, sum(k)::BIGINT AS n_removed_words, count(DISTINCT told.line) AS n_frequent_lines FROM told
     JOIN freq f ON told.source IS NOT DISTINCT FROM f.source AND told.line = f.line GROUP BY told.r),
 s AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum([length(x) for x in w]), 0)::BIGINT AS word_chars,

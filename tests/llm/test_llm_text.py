@@ -88,6 +88,24 @@ def test_frequent_lines_deplete_and_copies_do_not(spark):
     assert line_rules.quality_rules(docs(spark, [])).count() == 0
 
 
+def test_a_line_above_the_absolute_limit_goes_on_a_host_of_any_size(spark):
+    def texts(n):
+        return [("Subscribe to our letter, 30 cents\n" if i < 12 else "") + f"own words of text {chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(n)]
+
+    for n in (40, 400):
+        table = docs(spark, texts(n))
+        told = line_rules.removed_words(table, min_docs=5, max_share=0.2, max_docs=10)
+        assert {r["n_removed_words"] for r in told.collect()} == {6} and told.count() == 12
+        assert line_rules.removed_words(table, min_docs=5, max_share=0.2, max_docs=12).count() == (12 if n == 40 else 0)
+    # The texts without these lines; other lines stay as they are.
+    table = docs(spark, [*texts(40), None, "", "SUBSCRIBE  to our letter, 99 cents \n\n kept\tas it is ", texts(40)[0]]).withColumn("_host", F.lit("x"))
+    out = line_rules.remove_frequent_lines(table, min_docs=5, max_share=0.2).orderBy("doc_id").collect()
+    assert out[0]["cleaned_text"] == out[43]["cleaned_text"] == "own words of text aa" and out[13]["cleaned_text"] == out[13]["text"]
+    assert out[40]["cleaned_text"] is None and out[41]["cleaned_text"] == "" and out[42]["cleaned_text"] == "\n kept\tas it is "
+    assert all(r["_host"] == "x" and r["n_words"] == "clash" for r in out) and len(out) == 44
+    assert line_rules.remove_frequent_lines(table.where("false")).count() == 0
+
+
 # ---- personal data ------------------------------------------------------------------------------
 
 
@@ -303,3 +321,7 @@ def test_language_held_out_and_edges(spark):
     assert [r["lang_pred"] == "und" for r in odd] == [True, True, True, False] and odd[0]["score"] == 0
     nothing = language_ppm.fit(table.where("false"))
     assert language_ppm.identify_documents(docs(spark, ["a"]), nothing).first()["lang_pred"] == "und"
+
+
+def test_texts_without_a_letter_have_no_language():
+    assert [language_ppm.has_letter(t) for t in ("12 \u00bd \u00b2", "\u2460", "\u2167", "", "a", "\u00e9", "\u4e2d")] == [False] * 4 + [True] * 3
