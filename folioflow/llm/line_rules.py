@@ -13,7 +13,7 @@ are read.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .scratch import free_name
+from .scratch import free_name, written
 
 SPACE = "[\\x20\\x09-\\x0D]+"
 NOT_SPACE = "[^\\x20\\x09-\\x0D]"
@@ -102,6 +102,8 @@ def removed_words(docs: DataFrame, host="source", text="text", min_docs=20, max_
     each = each.select("_host", *_KEYS, F.xxhash64("_line").alias("_hash"), n_words.cast("long").alias("_n"))
     # One row per line and distinct text; copies of a text fall together on the map side.
     per_text = each.groupBy("_host", "_hash", *_KEYS).agg(F.count("*").alias("_times"), F.first("_n").alias("_n"))
+    # Written: lines are counted first and looked up then, and texts are split once for both.
+    per_text, _ = written(per_text, "lines")
     copies = told.select(*keys).groupBy("_host", *_KEYS).agg(F.count("*").alias("_copies"))
     hosts = copies.groupBy("_host").agg(F.count("*").alias("_docs"))
     counted = per_text.groupBy("_host", "_hash").agg(F.count("*").alias("_found")).where(F.col("_found") > min_docs)
