@@ -220,7 +220,7 @@ def transformed_rows(spark, sf):
             "old_version": (F.col("doc_id") % 3).cast("int"),
         }
     )
-    return transform.transformed_rows(known, RUN_TS)
+    return transform.transformed_rows(known, RUN_TS).drop("cleaner_version")
 
 
 @query(
@@ -231,7 +231,7 @@ def transformed_rows(spark, sf):
 )
 def copied_rows(spark, sf):
     _, other = filters.split_by_type(landing(spark, sf))
-    return transform.copied_rows(other.withColumn("content", F.col("content").cast("binary")), RUN_TS)
+    return transform.copied_rows(other.withColumn("content", F.col("content").cast("binary")), RUN_TS).drop("cleaner_version")
 
 
 _IN_RANGE = "doc_id % 5 <> 4 AND d BETWEEN DATE '2021-03-01' AND DATE '2023-06-30'"
