@@ -1,7 +1,10 @@
 """Operators of the subpackage against plain versions on small rows: text operators."""
 
 import hashlib
+import random
 import re
+import time
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -238,6 +241,112 @@ def test_html_main_text(spark):
     assert [b.text for b in html_blocks.page_blocks("<p>a &am b &lt;")] == ["a &am b <"]
 
 
+BARE_PAGES = [
+    ("<html><body>Just a text of a few words.</body></html>", ["Just a text of a few words."]),
+    ("<div><p>Short one.</p></div>", ["Short one."]),
+    ("<h1>Pancakes</h1><p>Steps</p><ul><li>Take a pan.</li><li>Add salt.</li><li>Serve hot.</li></ul>", ["Pancakes", "Steps", "Take a pan.", "Add salt.", "Serve hot."]),
+    (
+        "<div><ul><li><a href='/'>Home</a></li><li><a href='/b'>Blog</a></li><li><a href='/c'>About us</a></li></ul></div><div><h1 id='menu'>Menu of the day</h1>"
+        "<p class='reader'>We cooked for twelve people and this is what all of them had to say about it afterwards.</p><h2 id='related-work'>Related work</h2><p>None.</p>"
+        "<p>Others cooked for ten, see <a href='/x'>their page</a>, and had a good time as well.</p></div><div>© 2020 Somebody</div>",
+        [
+            "Menu of the day",
+            "We cooked for twelve people and this is what all of them had to say about it afterwards.",
+            "Related work",
+            "None.",
+            "Others cooked for ten, see their page, and had a good time as well.",
+        ],
+    ),
+    (
+        "<div><h1>A walk</h1><p>It went over the hill and then down to the lake where we had our lunch.</p><p>Fine day.</p><h2>2 comments</h2>"
+        "<div><p>I have been there too, and it is worth the long way up from the station.</p></div></div>",
+        ["A walk", "It went over the hill and then down to the lake where we had our lunch.", "Fine day."],
+    ),
+    (
+        "<article><h2 id='related-work'>Related work</h2><p class='legal'>A law.</p><div class='warning'><p>Beware.</p></div><section id='links'><h3>Links</h3><p>Two.</p></section>"
+        "<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.</p><xmp>a <b> &amp;</xmp><p><a name='end'>The end</a></p></article><section class='comments'><p>No.</p></section>",
+        ["Related work", "A law.", "Beware.", "Links", "Two.", "So x=2.", "a <b> &amp;", "The end"],
+    ),
+    ("<main><h1>T</h1><p>All rights reserved.</p><p>We use cookies in all our recipes.</p></main>", ["T", "All rights reserved.", "We use cookies in all our recipes."]),
+]
+
+
+@pytest.mark.parametrize("page, lines", BARE_PAGES)
+def test_no_line_of_the_article_is_lost(page, lines):
+    tree = html_blocks.grow(*html_blocks.labelled_blocks())
+    assert html_blocks.main_text(page, tree)[0].split("\n") == lines
+
+
+class _PlainBlocks(HTMLParser):
+    """A plain splitter of well-formed pages into blocks, to hold the operator's to."""
+
+    def __init__(self, page):
+        super().__init__(convert_charrefs=True)
+        self.blocks, self.now, self.raw = [], "", 0
+        self.feed(page)
+        self.close()
+        self.cut()
+
+    def cut(self):
+        if self.now.split():
+            self.blocks.append(" ".join(self.now.split()))
+        self.now = ""
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_blocks.BLOCK_TAGS:
+            self.cut()
+        self.raw += tag in html_blocks.RAW_TAGS
+        self.now += " " * (tag == "br" or tag in html_blocks.RAW_TAGS)
+
+    def handle_endtag(self, tag):
+        if tag in html_blocks.BLOCK_TAGS:
+            self.cut()
+        self.raw -= tag in html_blocks.RAW_TAGS
+
+    def handle_data(self, data):
+        if not self.raw:
+            self.now += data
+
+
+def test_blocks_are_those_of_a_plain_splitter():
+    pick = random.Random(3)
+
+    def grow(depth):
+        kind = pick.choice(("text", "text", "inline", "block", "block", "raw", "comment", "br"))
+        if kind == "text" or depth == 0:
+            return pick.choice(("w ", "two  words", "a &amp; b", "&lt;p&gt;", "3 < 4", "\n", "é"))
+        inner = "".join(grow(depth - 1) for _ in range(pick.randint(0, 4)))
+        mark = pick.choice(("", " class='a b'", ' title="x > y"', " id=z"))
+        if kind == "inline":
+            return "<{0}{1}>{2}</{0}>".format(pick.choice(("b", "span", "a")), mark, inner)
+        if kind == "block":
+            return "<{0}{1}>{2}</{0}>".format(pick.choice(("div", "section", "ul", "article", "h2", "table")), mark, inner)
+        return {"raw": "<script>if (a<b) x('<p>')</script>", "comment": "<!-- <p> - > -->", "br": "<br>"}[kind]
+
+    for _ in range(300):
+        page = "".join(grow(5) for _ in range(4))
+        assert [b.text for b in html_blocks.page_blocks(page)] == _PlainBlocks(page).blocks
+
+
+@pytest.mark.parametrize(
+    "unit, tail", [("<div>", ""), ("<div><p>x</b>", ""), ("<a href='x ", ""), ("<a href='x >\"y ", ">"), ('<a "', ">"), ("<!-- ", ""), ("<div></p></ul>", "")]
+)
+def test_blocks_in_linear_time(unit, tail):
+    def seconds(n):
+        begun = time.process_time()
+        html_blocks.page_blocks(unit * n + tail)
+        return time.process_time() - begun
+
+    assert seconds(120_000) < 10 * max(seconds(30_000), 0.05)
+
+
+def test_html_columns_of_the_same_names(spark):
+    pages = spark.createDataFrame([("<p>a text of some words</p>", 1, "m", 5)], "html string, n_kept int, _main string, page_id int")
+    row = html_blocks.extract_pages(pages).collect()[0]
+    assert (row["text"], row["n_kept"], row["_main"], row["page_id"]) == ("a text of some words", 1, "m", 5)
+    assert html_blocks.extract_pages(pages.limit(0)).collect() == []
+
+
 def test_tree_on_held_out_layouts():
     tree = html_blocks.grow(*html_blocks.labelled_blocks())
     x, y = html_blocks.labelled_blocks(100, seed=1)
