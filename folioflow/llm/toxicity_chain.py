@@ -4,13 +4,16 @@ The categories are predicted one after the other. The model of each is a logisti
 the share of words and word beginnings in a text (hashed to a fixed number of places) and on the
 probabilities of the categories before it. For training, those probabilities come out of fold: the labelled documents are
 dealt into folds by a hash of their id, and a document's probabilities are those of models that never
-saw it. The threshold of a category is the one with the best F1 on out-of-fold probabilities.
+saw it. The threshold of a category is the one with the best F1 on out-of-fold probabilities, each sampled row
+counting for the labelled rows of its combination of labels that it stands for: so the threshold is that of the
+mix of labels in the table, not of the balanced sample.
 
 Training takes a bounded sample of the labelled rows: at most ``max_rows`` documents per value of
 each category, chosen by a hash of their id; everything else reads all rows and whole texts.
 
 Edge cases: a null text has no words; labelled rows without a text, an id or one of the labels are not
-learned from; labels of unknown ids are ignored; with several labels for one id the greatest counts;
+learned from; labels of unknown ids are ignored; with several labels for one id the greatest counts, with several
+texts the least is learned from;
 a category with one value only predicts its share; without any labelled row all probabilities are 0
 and no text is flagged; repeated rows each get the same result; other columns are kept.
 """
@@ -107,13 +110,13 @@ def fit_linear(texts: list[Features], earlier: np.ndarray, y: np.ndarray, size:
     return Linear(theta[0], theta[1], float(theta[2][0]))
 
 
-def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The middle of the widest gap among thresholds of greatest F1."""
+def best_threshold(p: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The middle of the gap below the cut of greatest F1, rows counting ``weight`` times; ties go to the highest cut."""
     if not len(y) or not y.any():
         return 1.1
     order = np.argsort(-p, kind="stable")
-    right = np.cumsum(y[order])
-    f1 = 2 * right / (np.arange(1, len(y) + 1) + y.sum())
+    right = np.cumsum((y * weight)[order])
+    f1 = 2 * right / (np.cumsum(weight[order]) + right[-1])
     lower = np.append(p[order][1:], 0.0)
     f1[p[order] == lower] = -1.0  # ties stay together
     at = int(np.argmax(f1))
@@ -135,7 +138,7 @@ class Chain:
 
 
 def fit_chain(rows: pd.DataFrame, categories: list[str], size=1 << 16, folds=5) -> Chain:
-    """``rows``: text, fold and a 0/1 column per category."""
+    """``rows``: text, fold, weight (how many labelled rows each stands for) and a 0/1 column per category."""
     texts = [text_features(t, size) for t in rows["text"]]
     seen = np.bincount(_flat(texts)[0], minlength=size) >= 3  # rarer places have no weight to learn
     texts = [Features(t.places[k], t.values[k]) for t in texts for k in [seen[t.places]]]
@@ -150,7 +153,7 @@ def fit_chain(rows: pd.DataFrame, categories: list[str], size=1 << 16, folds=5)
                 model = fit_linear([texts[i] for i in rest], earlier[rest], y[rest], size)
                 out[held] = model.probability([texts[i] for i in held], earlier[held])
         models.append(fit_linear(texts, earlier, y, size))
-        thresholds.append(best_threshold(out, y))
+        thresholds.append(best_threshold(out, y, rows["weight"].to_numpy(float)))
         earlier = np.column_stack([earlier, out])
     return Chain(size, categories, models, thresholds)
 
@@ -168,12 +171,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, categories: list[str], m
             wanted = some if wanted is None else wanted.unionByName(some)
     chosen = wanted.distinct().toPandas()
     if chosen.empty:
-        return pd.DataFrame({"text": [], "fold": [], **{c: [] for c in categories}})
+        return pd.DataFrame({"text": [], "fold": [], "weight": [], **{c: [] for c in categories}})
     spark = docs.sparkSession
     ids = F.broadcast(spark.createDataFrame(chosen[[key]]))  # at most 2 * max_rows ids per category
     texts = docs.join(ids, key).where(F.col(text).isNotNull()).select(F.col(key).alias(key), F.col(text).alias("text"))
-    rows = texts.dropDuplicates([key]).toPandas().merge(chosen, on=key).sort_values("_at")
-    return rows.assign(fold=rows["_at"] % 1000)
+    rows = texts.groupBy(key).agg(F.min("text").alias("text")).toPandas().merge(chosen, on=key).sort_values("_at")
+    # Within one combination of labels the rows are those of the least hashes, so each stands for equally many.
+    of_table = known.groupBy(*categories).agg(F.count("*").alias("_all")).toPandas()  # one row per combination
+    rows = rows.merge(of_table, on=categories, how="left")
+    weight = rows["_all"] / rows.groupby(categories)[key].transform("size")
+    return rows.assign(fold=rows["_at"] % 1000, weight=weight)
 
 
 def fit(docs: DataFrame, labels: DataFrame, categories: list[str], max_rows=1000, size=1 << 16, folds=5, key="doc_id", text="text") -> Chain:

@@ -1,11 +1,16 @@
 """Operators of the subpackage against plain versions on small rows: text operators."""
 
 import hashlib
+import math
 import random
 import re
 import time
+import zlib
+from collections import Counter
 from html.parser import HTMLParser
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -373,6 +378,49 @@ def test_toxicity_held_out(spark):
     assert counts.get((0, True), 0) < 0.05 * counts[0, False]
 
 
+def test_threshold_against_all_cuts():
+    pick = random.Random(5)
+    for _ in range(200):
+        n = pick.randint(1, 12)
+        p = np.array([pick.choice((0.1, 0.2, 0.4, 0.5, 0.9)) for _ in range(n)])
+        y, w = np.array([float(pick.random() < 0.4) for _ in range(n)]), np.array([float(pick.randint(1, 9)) for _ in range(n)])
+        got = toxicity_chain.best_threshold(p, y, w)
+
+        def f1(t):
+            told = p >= t
+            return 2 * (w * y * told).sum() / ((w * told).sum() + (w * y).sum())
+
+        assert (got == 1.1) if not y.any() else np.isclose(f1(got), max(f1(t) for t in p))
+
+
+def test_threshold_is_that_of_the_table(spark):
+    """A sample of 30 rows per value out of 30 toxic and 1,500 clean texts: each sampled clean text stands for many."""
+    pick = random.Random(6)
+    rows = [(i, " ".join(pick.choices(["bad", "awful", "word", "tree", "hill"], [6, 6, 1, 1, 1] if i < 30 else [1, 1, 6, 6, 6], k=20)), int(i < 30)) for i in range(1530)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    sample = toxicity_chain.labelled_sample(table.drop("toxic"), table.drop("text"), ["toxic"], max_rows=30)
+    assert sorted(sample.groupby("toxic")["weight"].sum().round(6).tolist()) == [30, 1500]
+    assert sample.groupby("toxic")["weight"].first().round(6).tolist() == [50, 1]
+
+
+def test_chain_against_plain_sums(spark):
+    rows = pd.DataFrame({"text": ["bad awful word", "tree hill word", "bad bad", "hill tree", "awful", "", "word tree"] * 6, "low": [1, 0, 1, 0, 1, 0, 0] * 6})
+    rows = rows.assign(toxic=rows["low"], fold=range(len(rows)), weight=1.0)
+    model = toxicity_chain.fit_chain(rows, ["low", "toxic"], size=1 << 10)
+    texts = ["bad word", "tree", "", None, "Awful awful, unknown words"]
+    got = toxicity_chain.flag_toxic(docs(spark, texts), model).orderBy("doc_id").collect()
+    for text, row in zip(texts, got):
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        counts = Counter(zlib.crc32(part.encode()) % 1024 for w in words for part in ["=" + w, *(w[:k] for k in (5, 6, 7) if len(w) >= k)])
+        earlier = []
+        for name, linear, limit in zip(model.categories, model.models, model.thresholds):
+            score = linear.intercept + sum(linear.words[k] * math.log1p(n * 200 / max(len(words), 50)) for k, n in counts.items())
+            score += sum(a * b for a, b in zip(linear.earlier, earlier))
+            earlier.append(1 / (1 + math.exp(-score)))
+            assert row[f"p_{name}"] == pytest.approx(earlier[-1], abs=1e-9) and row[name] == (row[f"p_{name}"] >= limit)
+    assert [r["toxic"] for r in got][:2] == [True, False]
+
+
 def test_toxicity_edges(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity_chain.fit(docs(spark, ["a"]), none, ["toxic"])
