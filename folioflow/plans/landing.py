@@ -14,7 +14,7 @@ from ..operators.links import attachments
 from ..operators.lookup import with_body_name
 from ..operators.merge import landing_merge
 from ..schemas import CAPTURE_COLS
-from ..session import scratch_path
+from ..session import discard, scratch_path, stored
 from ..sources.blobs import LAYOUT, blob_rows, read_blobs, write_blobs, write_new_blobs
 from ..sources.tables import merge_months
 from .stages import Stage, run_stages
@@ -87,6 +87,8 @@ LANDING_STAGES = [
     Stage("hash", _hashed, "file_hash IS NULL", "no document content"),
     Stage("store", _located, "identifier IS NULL", "no identifier"),
 ]
+#: The same for items that were stored with their hashes.
+_STORED_STAGES = [LANDING_STAGES[0]._replace(apply=lambda items: items), *LANDING_STAGES[1:]]
 
 
 def store_items(items: DataFrame, store: str, run_ts: str, by=LAYOUT) -> DataFrame:
@@ -113,22 +115,26 @@ def store_items(items: DataFrame, store: str, run_ts: str, by=LAYOUT) -> DataFra
 def land(items: DataFrame, table: str, store: str, run_ts: str, by=LAYOUT) -> tuple[DataFrame, DataFrame]:
     """Lands items in a table and a store that stay in place; (``identifier, action``, rejected items).
 
-    Hashes and metadata are written without the bytes first. Off these narrow rows, captures that the
-    store has already are found by path and hash, so that only new bytes are shuffled and stored,
-    and the table is merged in the months that the items touch. Neither step reads what
-    other runs stored. An item that comes back to earlier content finds it where it was.
+    Items are made once: written with their hashes as they come, unshuffled, and removed when they have
+    landed. Off narrow columns of these rows, captures that the store has already are found by path and
+    hash, so that only new bytes are shuffled and stored, and the table is merged in the months that
+    the items touch. Neither step reads what other runs stored. An item that comes back to earlier
+    content finds it where it was.
     """
-    spark = items.sparkSession
-    passed, rejects = run_stages(items, LANDING_STAGES)
+    spark, folder = items.sparkSession, scratch_path(items.sparkSession, "captured")
+    hashed = _hashed(items)
+    hashed.write.parquet(folder)
+    # Stages and their conditions would work out the bytes again for each test on rows that are not stored.
+    passed, rejects = run_stages(spark.read.schema(hashed.schema).parquet(folder), _STORED_STAGES)
+    rejects, _, _ = stored(rejects, "rejects")
     named = passed.withColumns({"body": F.coalesce("body", F.lit("unknown")), "partition_date": F.coalesce("partition_date", F.lit("unknown"))})
-    folder = scratch_path(spark, "captured")
-    full = named.where(F.octet_length(F.col("document_content").cast("binary")) > 0)
-    full.drop("document_content").write.parquet(folder)
-    captured = spark.read.parquet(folder)
+    captured = named.drop("document_content")
     keys = captured.select(F.col("file_path").alias("object_path"), "file_hash")
     keep = [c for c in passed.columns if c in CAPTURE_COLS and c not in ("body", "partition_date", "file_path")]
     write_new_blobs(blob_rows(named, keep=["identifier", *keep]), keys, store, run_ts, by)
-    return merge_months(spark, table, captured, run_ts), rejects
+    actions = merge_months(spark, table, captured, run_ts)
+    discard(spark, folder)
+    return actions, rejects
 
 
 def landing_run(

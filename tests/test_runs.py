@@ -483,6 +483,16 @@ def test_landing_again_stores_no_byte(spark, tmp_path):
     assert {r["identifier"]: bytes(r["content"]) for r in found} == {"a": b"one", "b/1": b"x"}
 
 
+def test_items_are_made_once(spark, tmp_path):
+    """Bytes that come out differently each time they are worked out: what is stored is what the table names."""
+    table, store = str(tmp_path / "landing"), str(tmp_path / "store")
+    captured = items(spark, [("a", "", "t1"), ("b", "", "t1"), (None, "", "t1")]).withColumn("document_content", F.uuid().cast("binary"))
+    actions, rejects = land(captured, table, store, "run-1")
+    assert {tuple(r) for r in actions.collect()} == {("a", "insert"), ("b", "insert")} and [r["stage"] for r in rejects.collect()] == ["store"]
+    found = src.attach_content(read_landing(spark, table), src.read_blobs(spark, store)).collect()
+    assert {r["identifier"]: r["file_hash"] for r in found} == {r["identifier"]: sha(bytes(r["content"] or b"").decode()) for r in found}
+
+
 def test_workflow_in_place_reads_only_what_changed(spark, tmp_path):
     def at(name):
         return str(tmp_path / name)
