@@ -102,6 +102,22 @@ def test_null_and_errors_stay_rows(spark, monkeypatch):
     monkeypatch.setattr(clean.markup, "clean", broken)
 
 
+def test_pages_are_cleaned_in_parts_of_bounded_size(spark):
+    import pyarrow as pa
+
+    pages = [None, "", "<body><p>" + "long " * 400_000 + "</p></body>", *[f"<body><p>{i}{'x' * 300}</p></body>" for i in range(9000)], None]
+    for kind in (pa.string(), pa.binary()):
+        batch = pa.array(pages, kind)
+        out = list(clean.clean_in_parts.func(iter([batch, batch.slice(0, 0)])))
+        assert len(out) > 3 and max(len(part) * 330 for part in out) < 2 * clean.PART_BYTES
+        rows = [row for part in out for row in part.to_pylist()]
+        assert [r["cleaned"] for r in rows] == [None if p is None else p for p in pages] and [r["tier"] for r in rows[:2]] == [None, "none"]
+    # Pages are cleaned that way, wherever they come from.
+    df = spark.createDataFrame([(1, "<p>a</p>")], "page_id int, html string")
+    for cleaned in (clean.clean_pages(df), clean.with_cleaned(df, "html")):
+        assert "clean_in_parts" in cleaned._jdf.queryExecution().executedPlan().toString()
+
+
 def random_page(rng):
     tags = ["div", "span", "p", "b", "main", "article", "nav", "br", "script", "body", "ul", "li", "footer", "pre"]
     attrs = ["", "", "", " class='content'", " class='x menu'", " id='content'", " id='nav'", " class='post-content y'", ' title="a&quot;b"']
