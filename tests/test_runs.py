@@ -331,6 +331,28 @@ def test_stream_versions(spark, tmp_path):
     assert {v for k, v in got.items() if k != "x"} <= {(1, "a"), (1, "b"), (1, "c")}
 
 
+def test_versions_are_joined_with_a_bounded_number_of_folders(spark, tmp_path):
+    """Many small batches against a plain count; each runs twice, with null identifiers and hashes among them."""
+    import random
+
+    rng, root, want, n = random.Random(3), str(tmp_path), {}, 0
+    schema = "identifier string, seen_at timestamp_ntz, event_id long, file_hash string"
+    for i in range(7):
+        rows = []
+        for _ in range(12):
+            key, h = rng.choice(["x", "y", None, f"only-{n}"]), rng.choice(["a", "b", None])
+            rows.append((key, dt.datetime(2024, 1, 1) + dt.timedelta(hours=n), n, h))
+            version, last = want.get(key, (0, None))
+            want[key] = (version + (version == 0 or h != last), h)
+            n += 1
+        batch = spark.createDataFrame(rows, schema)
+        for _ in range(2):
+            versions.update_batch(batch, i, root, fold_after=3)
+        assert len(versions._folders(spark, root, i + 1)) <= 4
+    assert {r["identifier"]: (r["version"], r["file_hash"]) for r in versions.latest_versions(spark, root).collect()} == want
+    assert "Pandas" not in plan_of(versions.latest_versions(spark, root)) and (tmp_path / "bases").is_dir()
+
+
 def test_fold_ignores_a_batch_counted_before():
     import pandas as pd
 
