@@ -4,7 +4,7 @@ Each micro-batch is reduced to one row per identifier (first hash, last hash, ch
 the segment-wise history operator, so a hot identifier is spread over many tasks. One join with what is
 stored adds these rows to the versions, without a call per key.
 
-What is stored is a folder of updates for each micro-batch and, after every ``fold_after`` of them, a base with the
+What is stored is a folder of changes for each micro-batch and, after every ``fold_after`` of them, a base with the
 last update of each identifier, so that a batch reads one base and a bounded number of folders. A batch
 reads only what batches before it wrote and replaces its own folders: running it again changes nothing.
 """
@@ -26,13 +26,13 @@ def _numbers(spark: SparkSession, folder: str) -> list[int]:
 
 
 def _folders(spark: SparkSession, root: str, before: float) -> list[str]:
-    """A base and the updates since, of the batches before ``before``.
+    """A base and the changes since, of the batches before ``before``.
 
     The base of the last batch may not be complete yet; that of an earlier one is.
     """
-    runs = [n for n in _numbers(spark, f"{root}/updates") if n < before]
+    runs = [n for n in _numbers(spark, f"{root}/changes") if n < before]
     base = max((n for n in _numbers(spark, f"{root}/bases") if runs and n < runs[-1]), default=-1)
-    return [f"{root}/bases/upto={base}"] * (base >= 0) + [f"{root}/updates/run={n}" for n in runs if n > base]
+    return [f"{root}/bases/upto={base}"] * (base >= 0) + [f"{root}/changes/run={n}" for n in runs if n > base]
 
 
 def _stored(spark: SparkSession, root: str, before: float = math.inf) -> DataFrame:
@@ -55,7 +55,7 @@ def update_batch(batch: DataFrame, batch_id: int, root: str, fold_after: int = 1
     updates = rows.join(known, rows["identifier"].eqNullSafe(known["_of"]), "left").select(
         "identifier", version.cast("int").alias("version"), F.col("last_hash").alias("file_hash"), F.lit(batch_id).cast("long").alias("seq")
     )
-    updates.write.mode("overwrite").parquet(f"{root}/updates/run={batch_id}")
+    updates.write.mode("overwrite").parquet(f"{root}/changes/run={batch_id}")
     if (batch_id + 1) % fold_after == 0:
         _stored(spark, root, batch_id + 1).write.mode("overwrite").parquet(f"{root}/bases/upto={batch_id}")
 
@@ -85,7 +85,7 @@ def versions_stream(spark: SparkSession, source: str, schema, root: str, fold_af
         spark.readStream.schema(schema)
         .parquet(source)
         .writeStream.foreachBatch(lambda batch, i: update_batch(batch, i, root, fold_after))
-        .option("checkpointLocation", f"{root}/checkpoint-updates")
+        .option("checkpointLocation", f"{root}/checkpoint-changes")
         .trigger(availableNow=True)
         .start()
     )
